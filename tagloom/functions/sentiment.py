@@ -59,11 +59,9 @@ def model_sentiment(load_model: Callable[[], Callable[[list[str]], list[int]]])
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load_model()
         for texts in batches:
-            known = texts.notna()
-            result = pd.Series([None] * len(texts), index=texts.index, dtype="Int32")
-            if known.any():
-                result[known] = predict(texts[known].tolist())
-            yield result
+            known = texts.dropna()
+            labels = pd.Series(predict(known.tolist()) if len(known) else [], known.index, "Int32")
+            yield labels.reindex(texts.index)
 
     return scored
 
