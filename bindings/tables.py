@@ -92,15 +92,18 @@ BRAND_TYPE_TAG = "concat(p_brand, ' ', p_type)"
 
 def lake_questions(spark: SparkSession, folder: str, tag: str = BRAND_TAG) -> DataFrame:
     """Orders, tagged with their parts; the first returned line is the accepted answer."""
-    lines = given(spark, folder, "lineitem").join(
-        given(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    accepted = F.when(F.col("l_returnflag") == "A",
-                      F.struct("l_shipdate", F.expr(LINE_ID).alias("line")))
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sort_array(F.collect_set(F.expr(tag))).alias("Tags"), F.min(accepted).alias("accepted"))
+    lines = given(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    part = given(spark, folder, "part")
+    tag_lists = (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+                 .groupBy("o_orderkey").agg(F.sort_array(F.collect_set(F.expr(tag))).alias("Tags")))
+    line_id = F.expr(LINE_ID.replace("l_orderkey", "o_orderkey"))
+    returned = (lines.where("l_returnflag = 'A'").groupBy("o_orderkey")
+                .agg(F.min(F.struct("l_shipdate", line_id.alias("line"))).alias("accepted")))
     created = F.col("o_orderdate").cast("timestamp")
     no_tags = F.array().cast("array<string>")
-    return given(spark, folder, "orders").join(per_order, "o_orderkey", "left").select(
+    orders = (given(spark, folder, "orders").join(tag_lists, "o_orderkey", "left")
+              .join(returned, "o_orderkey", "left"))
+    return orders.select(
         F.col("o_orderkey").alias("Id"), F.col("accepted.line").alias("AcceptedAnswerId"),
         F.col("o_custkey").alias("OwnerUserId"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("Score"),

@@ -9,20 +9,29 @@ from tagloom.plans.lookups import lookup_join
 from tagloom.schemas import ANSWER_TYPE, QUESTION_TYPE
 
 
+def _with_parent_tags(children: DataFrame, parent_id: str, parents: DataFrame) -> DataFrame:
+    """Inner join of children to the Id and Tags of their parents.
+
+    The children are freed of NULL keys here, so null-safe equality finds the same pairs as
+    plain equality. It keeps the optimizer from filtering the parents' Ids, and a parent
+    table that the caller also uses as it is stays the same plan, computed once. A parent
+    with very many children is split by the adaptive skew join.
+    """
+    tagged = parents.select(F.col("Id").alias("__parent"), "Tags")
+    keyed = children.where(F.col(parent_id).isNotNull())
+    return keyed.join(tagged, keyed[parent_id].eqNullSafe(tagged["__parent"]), "inner")
+
+
 def answers_with_question_tags(questions: DataFrame, answers: DataFrame) -> DataFrame:
     """(Id, CreationDate, Tags) of every answer, with the tags of its question."""
-    parents = questions.select(F.col("Id").alias("ParentId"), "Tags")
-    return (answers.select("Id", "ParentId", "CreationDate")
-            .join(parents, "ParentId", "inner")
-            .select("Id", "CreationDate", "Tags"))
+    children = answers.select("Id", "ParentId", "CreationDate")
+    return _with_parent_tags(children, "ParentId", questions).select("Id", "CreationDate", "Tags")
 
 
 def comments_with_posts_tags(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """(CreationDate, Tags) of every comment, with the tags of its post."""
-    commented = posts.select(F.col("Id").alias("PostId"), "Tags")
-    return (comments.select("PostId", "CreationDate")
-            .join(commented, "PostId", "inner")
-            .select("CreationDate", "Tags"))
+    children = comments.select("PostId", "CreationDate")
+    return _with_parent_tags(children, "PostId", posts).select("CreationDate", "Tags")
 
 
 def explode_tags(dated: DataFrame) -> DataFrame:
@@ -54,9 +63,9 @@ def tag_usage_per_day(posts: DataFrame, comments: DataFrame, synonyms: DataFrame
                       tags: DataFrame) -> DataFrame:
     """Uses of each known tag per day, over raw posts and comments.
 
-    What is counted are distinct (timestamp, tag string) pairs: two publications of the
-    same moment with the same tag string count once. Posts need no owner, a tag named twice in one tag string
-    counts twice, and undated comments form a NULL day.
+    What is counted are distinct (timestamp, tag string) pairs: two publications of one
+    moment with the same tag string count once. Posts need no owner, a tag named twice in
+    one tag string counts twice, and undated comments form a NULL day.
 
     Later steps only see the distinct short rows made here, so comparing whole posts
     first would change nothing; it would read and shuffle every body.
@@ -66,6 +75,10 @@ def tag_usage_per_day(posts: DataFrame, comments: DataFrame, synonyms: DataFrame
     answers = (posts.where((F.col("PostTypeId") == ANSWER_TYPE) & F.col("Tags").isNull())
                .select("Id", "ParentId", "CreationDate").distinct())
     tagged_posts = questions.unionByName(answers_with_question_tags(questions, answers)).distinct()
+    # Grouping, not distinct(): that would fold the distinct above into this one, and the
+    # answers would be joined twice instead of once.
     moments = (tagged_posts.select("CreationDate", "Tags")
-               .unionByName(comments_with_posts_tags(tagged_posts, comments)).distinct())
+               .unionByName(comments_with_posts_tags(tagged_posts, comments))
+               .groupBy("CreationDate", "Tags").agg(F.count("*").alias("times"))
+               .select("CreationDate", "Tags"))
     return count_tags_per_day(replace_tag_synonyms(explode_tags(moments), synonyms), tags)
