@@ -53,7 +53,7 @@ def strip_html(spark, folder):
 
 
 def count_words(spark, folder):
-    return t.given(spark, folder, "documents").select("doc_id", word_count(F.col("text")).alias("words"))
+    return t.given(spark, folder, "documents").select("doc_id", word_count("text").alias("words"))
 
 
 def explode_tags(spark, folder):

@@ -96,19 +96,22 @@ def lake_questions(spark: SparkSession, folder: str, tag: str = BRAND_TAG) -> Da
     part = given(spark, folder, "part")
     tag_lists = (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
                  .groupBy("o_orderkey").agg(F.sort_array(F.collect_set(F.expr(tag))).alias("Tags")))
-    line_id = F.expr(LINE_ID.replace("l_orderkey", "o_orderkey"))
+    # Ship day and line number within the order, packed into one sortable number.
+    day_and_line = F.expr("datediff(l_shipdate, DATE '1970-01-01') * 10000000000 "
+                          "+ (l_partkey * 1000 + l_suppkey) * 10 + l_linenumber")
     returned = (lines.where("l_returnflag = 'A'").groupBy("o_orderkey")
-                .agg(F.min(F.struct("l_shipdate", line_id.alias("line"))).alias("accepted")))
+                .agg(F.min(day_and_line).alias("first_return")))
     created = F.col("o_orderdate").cast("timestamp")
     no_tags = F.array().cast("array<string>")
     orders = (given(spark, folder, "orders").join(tag_lists, "o_orderkey", "left")
               .join(returned, "o_orderkey", "left"))
     return orders.select(
-        F.col("o_orderkey").alias("Id"), F.col("accepted.line").alias("AcceptedAnswerId"),
+        F.col("o_orderkey").alias("Id"),
+        F.expr("o_orderkey * 1000000000 + first_return % 10000000000").alias("AcceptedAnswerId"),
         F.col("o_custkey").alias("OwnerUserId"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("Score"),
         F.col("o_totalprice").cast("int").alias("ViewCount"),
-        word_count(F.col("o_orderpriority")).alias("WordsCount"), created.alias("CreationDate"),
+        word_count("o_orderpriority").alias("WordsCount"), created.alias("CreationDate"),
         F.lit(None).cast("timestamp").alias("ClosedDate"),
         partition_day(created).alias("PartitionDate"), F.coalesce("Tags", no_tags).alias("Tags"))
 

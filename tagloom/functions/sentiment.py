@@ -39,11 +39,10 @@ def lexicon_sentiment(positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Score
 
     def score(text: Column) -> Column:
         words = F.split(F.lower(text), TOKEN_SEPARATOR)
-
-        def vote(word: Column) -> Column:
-            return F.when(word.isin(*positive), 1).when(word.isin(*negative), -1).otherwise(0)
-
-        votes = F.aggregate(words, F.lit(0), lambda total, word: total + vote(word))
+        # Most words have no opinion; one look-up drops them before votes are added.
+        telling = F.filter(words, lambda word: word.isin(*positive, *negative))
+        votes = F.aggregate(telling, F.lit(0), lambda total, word:
+                            total + F.when(word.isin(*positive), 1).otherwise(-1))
         return (votes > 0).cast("int")
 
     return score

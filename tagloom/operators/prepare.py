@@ -28,13 +28,13 @@ def prepare_posts(posts: DataFrame, separator: str = "") -> DataFrame:
     comes first, so that ownerless posts are never shuffled. Rows are compared on every
     column; the map-side half of that comparison folds copies before the shuffle.
     """
-    body = strip_markup("Body", separator)
     return (
         posts.where(F.col("OwnerUserId").isNotNull())
         .dropDuplicates()
         .select("Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "OwnerUserId", "Score",
-                "ViewCount", "Title", body.alias("Body"), "Tags", "CreationDate", "ClosedDate",
-                word_count(body).alias("WordsCount"))
+                "ViewCount", "Title", strip_markup("Body", separator).alias("Body"), "Tags",
+                "CreationDate", "ClosedDate")
+        .withColumn("WordsCount", word_count("Body"))
     )
 
 
@@ -68,7 +68,10 @@ def prepare_comments(comments: DataFrame, sentiment: Scorer | None = None,
                      separator: str = "") -> DataFrame:
     """Dated comments with word count and sentiment; repeated rows are kept."""
     score = sentiment or lexicon_sentiment()
-    text = strip_markup("Text", separator)
-    return comments.where(F.col("CreationDate").isNotNull()).select(
-        "Id", "PostId", "Score", word_count(text).alias("WordsCount"),
-        score(text).alias("Sentiment"), partition_day("CreationDate").alias(PARTITION_COLUMN))
+    # The text is stripped in a step of its own, since two columns are made of it.
+    stripped = comments.where(F.col("CreationDate").isNotNull()).select(
+        "Id", "PostId", "Score", strip_markup("Text", separator).alias("Text"), "CreationDate")
+    return stripped.select(
+        "Id", "PostId", "Score", word_count("Text").alias("WordsCount"),
+        score(F.col("Text")).alias("Sentiment"),
+        partition_day("CreationDate").alias(PARTITION_COLUMN))

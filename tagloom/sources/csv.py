@@ -1,8 +1,9 @@
 """CSV exports and result tables.
 
 Dialect (fixed values): header line, ``"`` as quote, a quote inside a field doubled, and
-fields that may hold line breaks. Writing uses the same dialect, so a table comes back
-as it was written.
+fields that may hold line breaks. An empty field is NULL, quoted or not: the exports quote
+every field, so they have no other way to leave one out. Writing uses the same dialect, so
+a table comes back as it was written, save that empty text becomes NULL.
 """
 
 from pyspark.sql import DataFrame, SparkSession

@@ -1,0 +1,80 @@
+"""Column expressions on edge cases."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tagloom.functions.dates import hours_between, parse_partition_day, partition_day
+from tagloom.functions.sentiment import classify, fit_classifier, lexicon_sentiment, model_sentiment
+from tagloom.functions.tags import parse_tags, tag_label
+from tagloom.functions.text import strip_markup, word_count
+
+
+def applied(spark, expression, values, kind="string"):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+    return [r.y for r in rows.select("i", expression.alias("y")).orderBy("i").collect()]
+
+
+def test_strip_markup(spark):
+    texts = ["<p>a</p>\n<b>b</b>", "<a\nhref>t</a>", "a \t  b", "a < b", "<<x>y", "", None, "a\n\nb", "x<br/>\n y"]
+    assert applied(spark, strip_markup("x"), texts) == [
+        "ab", "<ahref>t", "a b", "a < b", "y", "", None, "ab", "x y"]
+
+
+def test_strip_markup_with_separator(spark):
+    assert applied(spark, strip_markup("x", " "), ["<p>a</p>\n<b>b</b>", "a<br>b"]) == [" a b ", "a b"]
+
+
+def test_word_count(spark):
+    assert applied(spark, word_count("x"), ["", " a b ", "one", "a  b", None]) == [1, 4, 1, 3, None]
+
+
+def test_long_text_is_processed_whole(spark):
+    text = "<b>good</b> " * 50_000 + "bad " * 60_000
+    assert applied(spark, word_count(strip_markup("x")), [text]) == [110_001]
+    assert applied(spark, lexicon_sentiment()(F.col("x")), [text, text + "good " * 20_000]) == [0, 1]
+
+
+def test_parse_tags(spark):
+    assert applied(spark, parse_tags("x"), ["<a><b-c><a>", "", "<>", None]) == [["a", "b-c", "a"], [], [], None]
+
+
+def test_tag_label_is_lossy(spark):
+    labels = applied(spark, tag_label("x"), [["a-b"], ["a", "b"]], "array<string>")
+    assert labels == ["a-b", "a-b"]
+
+
+def test_days(spark):
+    moment = datetime(2024, 2, 1, 23, 59)
+    assert applied(spark, partition_day("x"), [moment, None], "timestamp") == ["01_02_2024", None]
+    assert applied(spark, parse_partition_day("x"), ["01_02_2024", "2024-02-01", None]) == [
+        datetime(2024, 2, 1), None, None]
+
+
+def test_hours_may_be_negative(spark):
+    rows = spark.createDataFrame([(datetime(2024, 1, 2), datetime(2024, 1, 1, 12))], "a timestamp, b timestamp")
+    assert rows.select(hours_between("a", "b")).first()[0] == -12.0
+
+
+def test_lexicon_sentiment(spark):
+    texts = ["Great, thanks!", "good but bad", "nothing", "goodness", "", None, "GOOD good bad"]
+    assert applied(spark, lexicon_sentiment()(F.col("x")), texts) == [1, 0, 0, 0, 0, None, 1]
+    own = lexicon_sentiment(positive=["ja"], negative=["nein"])
+    assert applied(spark, own(F.col("x")), ["ja ja nein", "good"]) == [1, 0]
+
+
+def test_model_sentiment(spark):
+    def load():
+        return lambda texts: [int(len(text) > 3) for text in texts]
+
+    assert applied(spark, model_sentiment(load)(F.col("x")), ["long text", None, "x"]) == [1, None, 0]
+    assert applied(spark, model_sentiment(load)(F.col("x")), [None, None]) == [None, None]
+
+
+def test_classifier(spark):
+    labelled = spark.createDataFrame(
+        [("fine work", 1), ("fine day", 1), ("poor work", 0), ("poor day", 0), (None, 1)] * 5,
+        "Text string, Label int")
+    scored = classify(labelled.select("Text").distinct(), fit_classifier(labelled))
+    assert {r.Text: r.Sentiment for r in scored.collect()} == {
+        "fine work": 1, "fine day": 1, "poor work": 0, "poor day": 0, None: None}
