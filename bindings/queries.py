@@ -207,20 +207,23 @@ def tag_overview(spark, folder):
 # --- mining ----------------------------------------------------------------------------------
 
 def mined(spark, folder):
-    return mining.mine_tags(t.lake_questions(spark, folder))
+    """The itemsets as a written table, so that no step mines them again."""
+    path = new_path(spark, "itemsets")
+    mining.frequent_itemsets(t.lake_questions(spark, folder)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def freq_itemsets(spark, folder):
-    itemsets = mining.frequent_itemsets(mined(spark, folder))
+    itemsets = mining.frequent_itemsets(t.lake_questions(spark, folder))
     return itemsets.select(tag_label("items").alias("items"), F.size("items").alias("size"), "freq")
 
 
 def top_itemsets(spark, folder):
-    return comparable(mining.top_itemsets(mined(spark, folder)))
+    return comparable(mining.top_itemsets(mining.frequent_itemsets(t.lake_questions(spark, folder))))
 
 
 def rules(spark, folder):
-    return mining.association_rules(mined(spark, folder))
+    return mining.association_rules(mined(spark, folder), t.given(spark, folder, "orders").count())
 
 
 def association_rules(spark, folder):

@@ -1,6 +1,10 @@
-"""Frequent tag sets and association rules, mined with Spark ML's FP-growth."""
+"""Frequent tag sets, mined with Spark ML's FP-growth, and the rules that follow from them.
 
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
+A fitted model mines its sets anew for every action. Write the itemsets to a table where
+several results are made of them, as the report job does.
+"""
+
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,38 +16,55 @@ MIN_CONFIDENCE = 0.1
 TOP_ITEMSETS = 16
 
 
-def mine_tags(questions: DataFrame, min_support: float = MIN_SUPPORT,
-              min_confidence: float = MIN_CONFIDENCE,
-              partitions: int | None = None) -> FPGrowthModel:
-    """Mine the tag sets of questions. ``partitions`` spreads the trees over more tasks."""
-    baskets = questions.select(F.sort_array("Tags").alias("Tags"))
-    miner = FPGrowth(itemsCol="Tags", minSupport=min_support, minConfidence=min_confidence)
+def frequent_itemsets(questions: DataFrame, min_support: float = MIN_SUPPORT,
+                      max_items: int | None = None, partitions: int | None = None) -> DataFrame:
+    """(items, freq): sorted tag sets and the number of questions that have all of them.
+
+    ``partitions`` spreads the mining over that many tasks; ``max_items`` leaves out
+    larger sets.
+    """
+    miner = FPGrowth(itemsCol="Tags", minSupport=min_support)
     if partitions:
         miner = miner.setNumPartitions(partitions)
-    return miner.fit(baskets)
-
-
-def frequent_itemsets(model: FPGrowthModel, max_items: int | None = None) -> DataFrame:
-    """(items, freq) with sorted items, up to ``max_items`` per set when given."""
-    itemsets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
+    mined = miner.fit(questions.select("Tags")).freqItemsets
+    itemsets = mined.select(F.sort_array("items").alias("items"), "freq")
     return itemsets if max_items is None else itemsets.where(F.size("items") <= max_items)
 
 
-def top_itemsets(model: FPGrowthModel, top: int = TOP_ITEMSETS) -> DataFrame:
+def top_itemsets(itemsets: DataFrame, top: int = TOP_ITEMSETS) -> DataFrame:
     """(items, item_list, freq) of the most frequent sets, ``items`` being their label."""
-    labelled = frequent_itemsets(model).select(
+    labelled = itemsets.select(
         tag_label("items").alias("items"), F.col("items").alias("item_list"), "freq")
     return labelled.orderBy(F.desc("freq"), "items", "item_list").limit(top)
 
 
-def association_rules(model: FPGrowthModel) -> DataFrame:
-    """Rules with a single consequent; both sides as label and as list."""
-    return model.associationRules.select(
-        tag_label(F.sort_array("antecedent")).alias("antecedent"),
-        tag_label("consequent").alias("consequent"),
-        "confidence", "lift", "support",
-        F.sort_array("antecedent").alias("antecedent_list"),
-        F.col("consequent").alias("consequent_list"))
+def association_rules(itemsets: DataFrame, questions: int,
+                      min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules with a single consequent, from all frequent sets of so many questions.
+
+    Both sides come as label and as list. Every part of a frequent set is frequent itself,
+    so the joins find the counts of both sides.
+    """
+    split = itemsets.where(F.size("items") > 1).select(
+        "items", "freq", F.explode("items").alias("consequent_item"))
+    rules = split.select(
+        F.array_remove("items", F.col("consequent_item")).alias("antecedent_list"),
+        F.array("consequent_item").alias("consequent_list"), "freq")
+    antecedents = itemsets.select(F.col("items").alias("antecedent_list"),
+                                  F.col("freq").alias("antecedent_freq"))
+    consequents = itemsets.select(F.col("items").alias("consequent_list"),
+                                  F.col("freq").alias("consequent_freq"))
+    confidence = F.col("freq") / F.col("antecedent_freq")
+    return (
+        rules.join(antecedents, "antecedent_list").where(confidence >= min_confidence)
+        .join(consequents, "consequent_list")
+        .select(tag_label("antecedent_list").alias("antecedent"),
+                tag_label("consequent_list").alias("consequent"),
+                confidence.alias("confidence"),
+                (confidence / (F.col("consequent_freq") / questions)).alias("lift"),
+                (F.col("freq") / questions).alias("support"),
+                "antecedent_list", "consequent_list")
+    )
 
 
 def rule_graph_edges(rules: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.prepare import is_answer, is_question
+from tagloom.operators.prepare import is_answer, is_question, with_body_digest
 from tagloom.schemas import ANSWER_TYPE, QUESTION_TYPE
 
 
@@ -13,8 +13,9 @@ def profile_posts(posts: DataFrame) -> DataFrame:
     """(Measure, Count) of raw posts, from one grouping of equal rows.
 
     Each group is one distinct row and knows how often it came, so raw and deduplicated
-    counts need only one pass and one shuffle.
+    counts need only one pass and one shuffle, which carries a digest for each body.
     """
+    posts = with_body_digest(posts)
     some_value = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in posts.columns])
     post_type = F.col("PostTypeId")
     untagged = (post_type == QUESTION_TYPE) & F.col("Tags").isNull()

@@ -6,6 +6,7 @@ from tagloom import schemas
 from tagloom.operators import mining, questions, scorecard, trends
 from tagloom.sources.csv import read_csv, write_csv
 from tagloom.sources.lake import Lake
+from tagloom.staging import staged
 
 # Folder and columns of each result.
 RESULTS = {
@@ -27,27 +28,23 @@ RESULTS = {
 }
 
 
-def analyse(asked: DataFrame, answers: DataFrame, comments: DataFrame) -> dict[str, DataFrame]:
-    """All result tables of the three lake tables, by folder name."""
-    model = mining.mine_tags(asked)
-    info = questions.question_comment_info(
-        questions.question_answer_info(asked, answers), comments)
-    return {
-        "general_info": trends.general_info(asked, answers, comments),
-        "top_most_frequent_tags": mining.top_itemsets(model).drop("item_list"),
-        "association_rules_df": mining.association_rules(model).drop(
-            "antecedent_list", "consequent_list"),
-        "tags_frequency": trends.tag_frequency_series(trends.with_partition_timestamp(asked)),
-        "final_df": scorecard.tag_scorecard(info),
-    }
-
-
 def run_analysis(lake: Lake, output: str, mode: str = "errorifexists") -> None:
     """Compute every result of a lake and write each to its folder below ``output``."""
-    tables = [lake.read(name) for name in
-              (schemas.QUESTIONS_TABLE, schemas.ANSWERS_TABLE, schemas.COMMENTS_TABLE)]
-    for name, result in analyse(*tables).items():
-        write_csv(result, f"{output}/{name}", mode)
+    asked, answers, comments = (lake.read(name) for name in (
+        schemas.QUESTIONS_TABLE, schemas.ANSWERS_TABLE, schemas.COMMENTS_TABLE))
+    info = questions.question_comment_info(
+        questions.question_answer_info(asked, answers), comments)
+    with staged(mining.frequent_itemsets(asked), "itemsets") as itemsets:
+        results = {
+            "general_info": trends.general_info(asked, answers, comments),
+            "top_most_frequent_tags": mining.top_itemsets(itemsets).drop("item_list"),
+            "association_rules_df": mining.association_rules(itemsets, asked.count()).drop(
+                "antecedent_list", "consequent_list"),
+            "tags_frequency": trends.tag_frequency_series(trends.with_partition_timestamp(asked)),
+            "final_df": scorecard.tag_scorecard(info),
+        }
+        for name, result in results.items():
+            write_csv(result, f"{output}/{name}", mode)
 
 
 def read_result(spark: SparkSession, output: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tagloom import schemas
 from tagloom.functions.sentiment import Scorer
 from tagloom.operators.prepare import (
-    answers_from_posts, prepare_comments, prepare_posts, questions_from_posts)
+    answers_from_posts, prepare_comments, prepare_posts_without_text, questions_from_posts)
 from tagloom.sources.csv import read_csv
 from tagloom.sources.lake import Lake
 from tagloom.staging import staged
@@ -28,8 +28,8 @@ def load_lake(lake: Lake, posts: DataFrame, comments: DataFrame, synonyms: DataF
     # Questions and answers come from the same cleaned posts. These are written once, short
     # and split by type, so the raw posts are read and compared once and each table then
     # scans its own part.
-    short = (prepare_posts(posts).drop("Title", "Body")
-             .where(F.col("PostTypeId").isin(schemas.QUESTION_TYPE, schemas.ANSWER_TYPE)))
+    short = prepare_posts_without_text(posts).where(
+        F.col("PostTypeId").isin(schemas.QUESTION_TYPE, schemas.ANSWER_TYPE))
     with staged(short, "posts", partition_by="PostTypeId") as prepared:
         tables = {
             schemas.QUESTIONS_TABLE: questions_from_posts(prepared, synonyms),

@@ -16,7 +16,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of the session; a new local one only in local mode."""
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
+    configured = (spark.conf.get(CHECKPOINT_SETTING, None)
+                  or spark.sparkContext.getCheckpointDir())
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -122,14 +122,14 @@ def test_general_info(lake):
 
 
 def test_mining(lake):
-    model = mining.mine_tags(lake[0])
-    assert rows(mining.frequent_itemsets(model)) == sorted([
+    itemsets = mining.frequent_itemsets(lake[0])
+    assert rows(itemsets) == sorted([
         (["python"], 3), (["spark"], 1), (["sql"], 1), (["python", "spark"], 1),
         (["python", "sql"], 1)], key=repr)
-    assert len(rows(mining.frequent_itemsets(model, max_items=1))) == 3
-    assert [tuple(r) for r in mining.top_itemsets(model, 2).collect()] == [
+    assert len(rows(mining.frequent_itemsets(lake[0], max_items=1))) == 3
+    assert [tuple(r) for r in mining.top_itemsets(itemsets, 2).collect()] == [
         ("python", ["python"], 3), ("python-spark", ["python", "spark"], 1)]
-    rules = mining.association_rules(model)
+    rules = mining.association_rules(itemsets, 3)
     got = rows(rules, "antecedent", "consequent", "confidence", "lift", "support")
     third = pytest.approx(1 / 3)
     assert got == [("python", "spark", third, 1.0, third), ("python", "sql", third, 1.0, third),

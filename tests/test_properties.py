@@ -1,6 +1,7 @@
 """Equivalences between our plans and direct readings of what they compute."""
 
 import pytest
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -76,6 +77,14 @@ def test_post_without_id_still_counts_in_daily_usage(spark, forum):
     assert ("2024-01-04", 2, "spark", 1) in {tuple(r) for r in usage.collect()}
 
 
+def test_posts_without_text_are_the_prepared_posts(spark, forum):
+    bodies = forum.posts.where("Id = 1").withColumn("Body", F.lit("<i>other</i> text"))
+    for posts in (forum.posts.union(bodies), tables.raw_posts(spark, FOLDER)):
+        assert (as_set(prepare.prepare_posts_without_text(posts))
+                == as_set(prepare.prepare_posts(posts).drop("Title", "Body")))
+        assert (prepare.prepare_posts_without_text(posts).count() == prepare.prepare_posts(posts).count())
+
+
 def test_rows_of_one_question_are_merged(spark, forum):
     other = forum.posts.where("Id = 2").withColumn("Tags", F.lit("<sql><postgres>")).withColumn("Score", F.lit(9))
     prepared = prepare.prepare_posts(forum.posts.union(other))
@@ -97,16 +106,27 @@ def test_accepted_answer_stored_twice_does_not_repeat_the_question(lake):
 
 
 def test_supports_shrink_with_size(lake):
-    counts = {tuple(r.items): r.freq for r in mining.frequent_itemsets(mining.mine_tags(lake[0])).collect()}
+    counts = {tuple(r.items): r.freq for r in mining.frequent_itemsets(lake[0]).collect()}
     for items, freq in counts.items():
         for item in items:
             smaller = tuple(i for i in items if i != item)
             assert not smaller or counts[smaller] >= freq
-    limited = mining.frequent_itemsets(mining.mine_tags(lake[0], partitions=3), max_items=1)
+    limited = mining.frequent_itemsets(lake[0], max_items=1, partitions=3)
     assert as_set(limited.select(F.col("items")[0].alias("i"), "freq")) == {
         (freq, items[0]) for items, freq in counts.items() if len(items) == 1}
 
 
+def test_rules_are_those_of_the_model(lake):
+    model = FPGrowth(itemsCol="Tags", minSupport=0.002, minConfidence=0.2).fit(lake[0])
+    itemsets = mining.frequent_itemsets(lake[0], min_support=0.002)
+    assert itemsets.agg(F.max(F.size("items"))).first()[0] >= 3
+    ours = mining.association_rules(itemsets, lake[0].count(), min_confidence=0.2)
+    values = [F.round(c, 9).alias(c) for c in ("confidence", "lift", "support")]
+    assert as_set(ours.select("antecedent_list", "consequent_list", *values)) == as_set(
+        model.associationRules.select(F.sort_array("antecedent").alias("antecedent_list"),
+                                      F.col("consequent").alias("consequent_list"), *values))
+
+
 def test_leaders_are_among_the_most_questioned(lake):
     asked, answers, comments = lake
     card = scorecard.tag_scorecard(

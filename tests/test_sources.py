@@ -3,11 +3,13 @@
 from math import inf
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from tagloom import schemas
 from tagloom.plans.analysis import RESULTS, read_result, run_analysis
 from tagloom.plans.etl import run_etl
+from tagloom.sources.catalog import merge_by_key
 from tagloom.sources.csv import flatten_arrays, read_csv, write_csv
 from tagloom.sources.lake import Lake
 from tagloom.staging import scratch_dir, staged
@@ -173,3 +175,13 @@ def test_jobs_end_to_end(spark, forum, tmp_path):
     assert {r.Tag: r.QuestionsCount for r in results["final_df"]} == {"python": 3, "spark": 1, "sql": 1}
     assert len(results["top_most_frequent_tags"]) == 5 and len(results["association_rules_df"]) == 4
     assert len(results["tags_frequency"]) == 4
+
+
+def test_merge_is_left_to_the_table_format(spark):
+    rows_in = spark.createDataFrame([(1, "a")], "Id long, Value string")
+    spark.sql("CREATE TABLE IF NOT EXISTS plain_merge_target (Id BIGINT, Value STRING) USING parquet")
+    try:
+        with pytest.raises(UnsupportedOperationException, match="MERGE"):
+            merge_by_key(rows_in, "plain_merge_target")
+    finally:
+        spark.sql("DROP TABLE plain_merge_target")
