@@ -4,6 +4,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# The statistics of a tag, as (name, statistic, question value).
+STATISTICS = (
+    ("SumAnswersCount", "sum", "AnswersCount"),
+    ("SumAcceptedAnswerCount", "sum", "accepted"),
+    ("SumSelfAnswered", "sum", "own"),
+    ("AnswersPerQuestions", "avg", "AnswersCount"),
+    ("AcceptedAnswersPerQuestions", "avg", "accepted"),
+    ("SelfAnsweredPerQuestions", "avg", "own"),
+    ("AvgAcceptedAnswerAppearenceTimeInHours", "avg", "AcceptedAnswerAppearenceTimeInHours"),
+    ("AvgQuestionViewCount", "avg", "ViewCount"),
+    ("AvgQuestionWordsCount", "avg", "WordsCount"),
+    ("AvgAnswerWordsCount", "avg", "AverageAnswerWordsCount"),
+    ("AvgAcceptedAnswerWordsCount", "avg", "AcceptedAnswerWordsCount"),
+    ("CommentsCountPerQuestion", "avg", "CommentsCount"),
+    ("PositiveCommentsPerQuestion", "avg", "PositiveCommentsCount"),
+    ("AvgCommentWordsCount_", "avg", "AvgCommentWordsCount"),
+    ("SumCommentsCount", "sum", "CommentsCount"),
+    ("SumPositiveComments", "sum", "PositiveCommentsCount"),
+)
+# What stands for a missing statistic.
+MISSING = {"AvgAcceptedAnswerAppearenceTimeInHours": float("inf"), "AvgAnswerWordsCount": 0.0}
+# The shares, as (name, part, whole).
+SHARES = (
+    ("PortionsOfPositiveComments", "SumPositiveComments", "SumCommentsCount"),
+    ("PortionsOfAnswered", "SumAcceptedAnswerCount", "QuestionsCount"),
+)
+
+
 def _per_tag(question_info: DataFrame) -> DataFrame:
     return question_info.withColumn("Tag", F.explode("Tags")).drop("Tags")
 
@@ -22,30 +50,12 @@ def tag_scorecard(question_info: DataFrame) -> DataFrame:
         "accepted": F.col("AcceptedAnswerScore").isNotNull().cast("int"),
         "own": F.coalesce("SelfAnswered", F.lit(False)).cast("int"),
     })
-    totals = facts.groupBy("Tag").agg(
+    counted = facts.groupBy("Tag").agg(
         F.count("*").alias("QuestionsCount"),
-        F.sum("AnswersCount").alias("SumAnswersCount"),
-        F.sum("accepted").alias("SumAcceptedAnswerCount"),
-        F.sum("own").alias("SumSelfAnswered"),
-        F.avg("AnswersCount").alias("AnswersPerQuestions"),
-        F.avg("accepted").alias("AcceptedAnswersPerQuestions"),
-        F.avg("own").alias("SelfAnsweredPerQuestions"),
-        F.coalesce(F.avg("AcceptedAnswerAppearenceTimeInHours"), F.lit(float("inf")))
-        .alias("AvgAcceptedAnswerAppearenceTimeInHours"),
-        F.avg("ViewCount").alias("AvgQuestionViewCount"),
-        F.avg("WordsCount").alias("AvgQuestionWordsCount"),
-        F.coalesce(F.avg("AverageAnswerWordsCount"), F.lit(0.0)).alias("AvgAnswerWordsCount"),
-        F.avg("AcceptedAnswerWordsCount").alias("AvgAcceptedAnswerWordsCount"),
-        F.avg("CommentsCount").alias("CommentsCountPerQuestion"),
-        F.avg("PositiveCommentsCount").alias("PositiveCommentsPerQuestion"),
-        F.avg("AvgCommentWordsCount").alias("AvgCommentWordsCount_"),
-        F.sum("CommentsCount").alias("SumCommentsCount"),
-        F.sum("PositiveCommentsCount").alias("SumPositiveComments"),
-    )
-    return totals.withColumns({
-        "PortionsOfPositiveComments": _share("SumPositiveComments", "SumCommentsCount"),
-        "PortionsOfAnswered": _share("SumAcceptedAnswerCount", "QuestionsCount"),
-    }).orderBy(F.desc("QuestionsCount"), "Tag")
+        *[getattr(F, statistic)(value).alias(name) for name, statistic, value in STATISTICS])
+    return counted.fillna(MISSING).withColumns(
+        {name: _share(part, whole) for name, part, whole in SHARES}
+    ).orderBy(F.desc("QuestionsCount"), "Tag")
 
 
 def tag_averages(question_info: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from tagloom import schemas
-from tagloom.plans.analysis import RESULTS, read_result, run_analysis
-from tagloom.plans.etl import run_etl
+from tagloom.__main__ import main
+from tagloom.plans.analysis import RESULTS, read_result
 from tagloom.sources.catalog import merge_by_key
 from tagloom.sources.csv import flatten_arrays, read_csv, write_csv
 from tagloom.sources.lake import Lake
@@ -156,19 +156,22 @@ def test_preview_prints(spark, tmp_path, capsys):
     assert "a" * 40 in capsys.readouterr().out
 
 
-def test_jobs_end_to_end(spark, forum, tmp_path):
+def test_jobs_end_to_end(spark, forum, tmp_path, capsys):
     for name in ("posts", "comments", "synonyms"):
         write_csv(getattr(forum, name), f"{tmp_path}/{name}")
     lake = Lake(spark, f"{tmp_path}/lake")
-    sources = [[f"{tmp_path}/posts"], [f"{tmp_path}/comments"], [f"{tmp_path}/synonyms"]]
-    run_etl(spark, lake, *sources, incremental=False)
+    load = ["load", "--lake", f"{tmp_path}/lake", "--posts", f"{tmp_path}/posts",
+            "--comments", f"{tmp_path}/comments", "--synonyms", f"{tmp_path}/synonyms"]
+    main(load)
     loaded = {name: rows(lake.read(name)) for name in
               (schemas.QUESTIONS_TABLE, schemas.ANSWERS_TABLE, schemas.COMMENTS_TABLE)}
     assert [len(loaded[n]) for n in ("questions", "answers", "comments")] == [3, 3, 4]
     # The same exports again change nothing.
-    run_etl(spark, lake, *sources, incremental=True)
+    main([*load, "--incremental"])
     assert loaded == {name: rows(lake.read(name)) for name in loaded}
-    run_analysis(lake, f"{tmp_path}/results")
+    main(["preview", "--lake", f"{tmp_path}/lake", "--rows", "5"])
+    assert "[python, spark]" in capsys.readouterr().out
+    main(["analyse", "--lake", f"{tmp_path}/lake", "--output", f"{tmp_path}/results"])
     results = {name: read_result(spark, f"{tmp_path}/results", name).collect() for name in RESULTS}
     assert [tuple(r) for r in sorted(results["general_info"])] == [
         ("Answers", 3), ("Comments", 4), ("Questions", 3)]
