@@ -25,18 +25,21 @@ class Manifest:
     version: int
     partition_column: str
     schema: T.StructType
+    # Loads that hold rows of each partition folder, and how many folders each load wrote.
     partitions: dict[str, list[int]] = field(default_factory=dict)
+    folders: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({
             "version": self.version, "partition_column": self.partition_column,
-            "schema": self.schema.jsonValue(), "partitions": self.partitions})
+            "schema": self.schema.jsonValue(), "partitions": self.partitions,
+            "folders": self.folders})
 
     @classmethod
     def from_json(cls, text: str) -> "Manifest":
         raw = json.loads(text)
         return cls(raw["version"], raw["partition_column"],
-                   T.StructType.fromJson(raw["schema"]), raw["partitions"])
+                   T.StructType.fromJson(raw["schema"]), raw["partitions"], raw["folders"])
 
 
 class Lake:
@@ -61,7 +64,7 @@ class Lake:
         version = self._next_version(name)
         written = self._write_load(table, name, version, partition_by)
         self._commit(name, Manifest(version, partition_by, table.schema,
-                                    {p: [version] for p in written}))
+                                    {p: [version] for p in written}, {str(version): len(written)}))
 
     def upsert(self, rows: DataFrame, name: str, key: str = "Id",
                partition_by: str = PARTITION_COLUMN) -> None:
@@ -79,6 +82,9 @@ class Lake:
         if missing:
             raise ValueError(f"columns differ from table {name}: {sorted(missing)}")
         partition_by = current.partition_column
+        if not current.partitions:
+            self.overwrite(rows.select(*current.schema.names), name, partition_by)
+            return
         with staged(rows.select(*current.schema.names), f"upsert-{name}") as incoming:
             keys = incoming.select(key).where(F.col(key).isNotNull())
             folder = F.regexp_extract("_metadata.file_path", f"({partition_by}=[^/]*)/[^/]*$", 1)
@@ -99,7 +105,8 @@ class Lake:
         partitions = {p: loads for p, loads in current.partitions.items() if p not in touched}
         for partition in written:
             partitions[partition] = [*partitions.get(partition, []), version]
-        self._commit(name, Manifest(version, partition_by, current.schema, partitions))
+        self._commit(name, Manifest(version, partition_by, current.schema, partitions,
+                                    {**current.folders, str(version): len(written)}))
 
     def overwrite_all(self, tables: dict[str, DataFrame], partition_by: str = PARTITION_COLUMN) -> None:
         for name, table in tables.items():
@@ -113,8 +120,16 @@ class Lake:
         return self._files(name, manifest, partitions).select(*manifest.schema.names)
 
     def _files(self, name: str, manifest: Manifest, partitions) -> DataFrame:
-        paths = [f"{self._data(name)}/{LOAD_COLUMN}={load}/{partition}"
-                 for partition in partitions for load in manifest.partitions[partition]]
+        wanted: dict[int, list[str]] = {}
+        for partition in partitions:
+            for load in manifest.partitions[partition]:
+                wanted.setdefault(load, []).append(partition)
+        paths = []
+        for load, folders in wanted.items():
+            root = f"{self._data(name)}/{LOAD_COLUMN}={load}"
+            # A load read as a whole is one path, so Spark lists its days in parallel.
+            whole = len(folders) == manifest.folders[str(load)]
+            paths += [root] if whole else [f"{root}/{folder}" for folder in folders]
         reader = self.spark.read.schema(manifest.schema).option("basePath", self._data(name))
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], manifest.schema)
 

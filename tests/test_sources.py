@@ -83,6 +83,27 @@ def test_overwrite_and_read(spark, tmp_path):
     assert lake.read("t").columns == ["Id", "Value", "PartitionDate"]
 
 
+def test_tables_may_be_empty(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    nothing = spark.createDataFrame([], TABLE)
+    lake.overwrite(nothing, "t")
+    assert rows(lake.read("t")) == []
+    lake.upsert(nothing, "t")
+    lake.upsert(spark.createDataFrame([(1, "a", "x")], TABLE), "t")
+    lake.upsert(nothing, "t")
+    assert rows(lake.read("t")) == [(1, "a", "x")]
+
+
+def test_filter_on_the_day_prunes_folders(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.overwrite(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], TABLE), "t")
+    lake.upsert(spark.createDataFrame([(3, "c", "d1")], TABLE), "t")
+    day = lake.read("t").where("PartitionDate = 'd1'")
+    assert rows(day) == [(1, "a", "d1"), (3, "c", "d1")]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "(PartitionDate#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_overwrite_from_itself(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.overwrite(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], TABLE), "t")
