@@ -113,13 +113,12 @@ def comment_sentiment(spark, folder):
     return t.given(spark, folder, "documents").select("doc_id", score(F.col("text")).alias("Sentiment"))
 
 
-def load_exclamation_model():
-    """Stand-in for a caller's model: more exclamation marks than question marks."""
-    return lambda texts: [int(text.count("!") > text.count("?")) for text in texts]
-
-
 def sentiment_by_model(spark, folder):
-    score = model_sentiment(load_exclamation_model)
+    def load_model():
+        """Stand-in for a caller's model: more exclamation marks than question marks."""
+        return lambda texts: [int(text.count("!") > text.count("?")) for text in texts]
+
+    score = model_sentiment(load_model)
     return t.given(spark, folder, "documents").select("doc_id", score(F.col("text")).alias("Sentiment"))
 
 

@@ -1,5 +1,7 @@
 """Column expressions on edge cases."""
 
+import random
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -25,6 +27,21 @@ def test_strip_markup_with_separator(spark):
     assert applied(spark, strip_markup("x", " "), ["<p>a</p>\n<b>b</b>", "a<br>b"]) == [" a b ", "a b"]
 
 
+def test_random_texts(spark):
+    """Two passes remove exactly what one pass over both patterns removes."""
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("<>ab \n\t\r/", k=draw.randrange(40))) for _ in range(3000)]
+
+    def cleaned(text, gap):
+        return re.sub(r"\s\s+", " ", re.sub("<[^>\n\r]*>|\n", gap, text), flags=re.ASCII)
+
+    for gap in ("", " "):
+        assert applied(spark, strip_markup("x", gap), texts) == [cleaned(t, gap) for t in texts]
+    assert applied(spark, word_count("x"), texts) == [len(t.split(" ")) for t in texts]
+    assert applied(spark, parse_tags("x"), texts) == [
+        [tag for tag in t.replace("<", "").split(">") if tag] for t in texts]
+
+
 def test_word_count(spark):
     assert applied(spark, word_count("x"), ["", " a b ", "one", "a  b", None]) == [1, 4, 1, 3, None]
 
