@@ -5,7 +5,8 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.operators import questions, scorecard, tag_usage, trends
+from tagloom.operators import prepare, questions, scorecard, tag_usage, trends
+from tagloom.plans import lookups
 from tagloom.plans.lookups import fits_broadcast, lookup_join
 
 
@@ -73,6 +74,18 @@ def test_salts_spread_a_hot_key(spark):
     assert sum(sizes) == 3000 and len(sizes) > 4 and max(sizes) < 1500
 
 
+def test_operators_with_dimensions_too_large_to_broadcast(spark, forum, monkeypatch):
+    def results():
+        asked = prepare.questions_from_posts(prepare.prepare_posts(forum.posts), forum.synonyms)
+        usage = tag_usage.tag_usage_per_day(forum.posts, forum.comments, forum.synonyms, forum.tags)
+        return [sorted(map(tuple, df.collect()), key=repr) for df in (asked, usage)]
+
+    broadcast = results()
+    monkeypatch.setattr(lookups, "fits_broadcast", lambda *_: False)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        assert results() == broadcast
+
+
 def test_hot_question_is_split_in_the_tag_join(spark, hot):
     asked, answers = hot
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1,
