@@ -164,8 +164,12 @@ class LineIndex:
         filter and one batch. A shard is spread over ``salts`` tasks by document.
         """
         salts = F.sequence(F.lit(0), F.lit(self.salts - 1))
-        filters = self.filters.withColumn("salt", F.explode(salts))
+        # No NULL numbers: pandas would turn the whole column into floats and round the ids.
+        filters = (self.filters.withColumn("salt", F.explode(salts))
+                   .withColumn("row_key", F.lit(0).cast("bigint"))
+                   .withColumn("doc", F.lit(0).cast("bigint")).withColumn("line", F.lit(0)))
         lines = lines.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(self.salts)).cast("int"))
+        lines = lines.withColumn("buckets", F.lit(0))
         both = filters.unionByName(lines, allowMissingColumns=True)
         names = [part.strip().split(" ")[0] for part in PROBES.split(",")]
         both = (both.select(*names).repartition("shard", "salt")
