@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.exact_dedup import exact_groups
 from tagloom.llm.line_dedup import dedup_lines
+from tagloom.llm.near_dedup import near_duplicates
 from tagloom.llm.sharding import shard
 from tagloom.llm.shared import table
 
@@ -22,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), shingle=4)
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -32,5 +37,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op3_exact_dedup": op3_exact_dedup,
+        "op6_near_dedup": op6_near_dedup,
         "op9_sharding": op9_sharding,
     }
