@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.exact_dedup import exact_groups
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.near_dedup import near_duplicates
+from tagloom.llm.pieces import encode_and_check
 from tagloom.llm.sharding import shard
 from tagloom.llm.shared import table
 
@@ -27,6 +28,10 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=4)
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_and_check(spark, table(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -38,5 +43,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op6_near_dedup": op6_near_dedup,
+        "op7_sentencepiece": op7_sentencepiece,
         "op9_sharding": op9_sharding,
     }
