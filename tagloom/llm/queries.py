@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm import quality
+from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.exact_dedup import exact_groups
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.near_dedup import near_duplicates
@@ -24,6 +26,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=4)
 
@@ -32,6 +39,10 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encode_and_check(spark, table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -42,7 +53,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_quality": op4_quality,
         "op6_near_dedup": op6_near_dedup,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
     }
