@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from tagloom.llm import quality
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.exact_dedup import exact_groups
+from tagloom.llm.licenses import scan_licenses
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.near_dedup import near_duplicates
 from tagloom.llm.pieces import encode_and_check
 from tagloom.llm.sharding import shard
 from tagloom.llm.shared import table
+from tagloom.llm.token_counts import Tokenizer, count_tokens
+from tagloom.llm.url_filter import judge_urls
+
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +40,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=4)
 
@@ -49,13 +62,20 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), Tokenizer.load()).drop("field")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_line_dedup": op2_line_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_quality": op4_quality,
+        "op5_license_scan": op5_license_scan,
         "op6_near_dedup": op6_near_dedup,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
+        "op10_token_counts": op10_token_counts,
     }
