@@ -14,8 +14,10 @@ else is shuffled: words, edges and results of a block stay in its partition.
 """
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,15 +97,27 @@ def escaped(text: Column) -> Column:
     return F.when(text == "", "").otherwise(F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE))))
 
 
-# The folds. Borders count code points from 0; edges are structs (rank, s, e, id, score).
+# The folds. Borders count code points from 0. An edge of a BPE word is one number, which sorts by rank,
+# then start, then end; an edge of a unigram word is a struct (s, e, score).
+
+PLACE_BITS = 22
+
+
+def _start(edge: Column) -> Column:
+    return F.shiftright(edge, PLACE_BITS).bitwiseAND(F.lit(2 ** PLACE_BITS - 1)).cast("int")
+
+
+def _end(edge: Column) -> Column:
+    return edge.bitwiseAND(F.lit(2 ** PLACE_BITS - 1)).cast("int")
+
 
 def _applies(borders: Column, edge: Column) -> Column:
-    at = F.array_position(borders, edge["s"]).cast("int")
-    return (F.get(borders, at + 1) == edge["e"]) & (at > 0)
+    at = F.array_position(borders, _start(edge)).cast("int")
+    return (F.get(borders, at + 1) == _end(edge)) & (at > 0)
 
 
 def _merged(borders: Column, edge: Column) -> Column:
-    return F.array_remove(borders, F.get(borders, F.array_position(borders, edge["s"]).cast("int")))
+    return F.array_remove(borders, F.get(borders, F.array_position(borders, _start(edge)).cast("int")))
 
 
 def _by_rank() -> Column:
@@ -133,7 +147,7 @@ def _viterbi(worst: float) -> Column:
                                   (-edge["s"]).alias("back")))
         alone = F.struct((F.get(ways, e - 1)["score"] + F.lit(worst)).alias("score"),
                          (-(e - 1)).alias("back"))
-        return F.array_max(F.when(F.size(arriving) > 0, arriving).otherwise(F.array(alone)))
+        return F.array_max(F.concat(arriving, F.array(alone)))
 
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back")))
     ways = F.aggregate(F.sequence(F.lit(1), F.col("n")), start,
@@ -146,57 +160,60 @@ def _viterbi(worst: float) -> Column:
         lambda state: state["path"])
 
 
-def _segment_ids(model: PieceModel) -> Column:
-    """Ids of the segments between borders: the piece, or the bytes of characters without one."""
-    def of(at: Column) -> Column:
-        s, e = F.get("final", at), F.get("final", at + 1)
-        piece = F.get(F.filter("edges", lambda edge: (edge["s"] == s) & (edge["e"] == e)), F.lit(0))["id"]
-        if model.first_byte is None:
-            spelled = F.array(F.lit(model.unknown))
-        else:
-            code = F.hex(F.encode(F.substring(F.col("word"), s + 1, e - s), "UTF-8"))
-            spelled = F.transform(
-                F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1),
-                lambda k: F.conv(F.substring(code, k * 2 + 1, F.lit(2)), 16, 10)
-                .cast("int") + model.first_byte)
-        return F.when(piece.isNotNull(), F.array(piece)).otherwise(spelled)
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size("final") - 2), of))
-
-
 def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
-    """``words`` (the keys, one of them ``word``; and ``first_doc``) with the ids of each word."""
+    """``words`` (the keys, one of them ``word``; and ``first_doc``) with the borders of their segments.
+
+    Words that no piece of two or more characters touches are left out: each character stands alone.
+    """
     spark = words.sparkSession
     scores = sorted({s for _, _, s in model.pieces}, reverse=True)
     rank = {s: r for r, s in enumerate(scores)}
+    shared = Counter(s for _, _, s in model.pieces)
+    unigram = model.kind == UNIGRAM
+    least = 1 if unigram else 2
     table = spark.createDataFrame(
-        [(p, i, rank[s], float(s)) for p, i, s in model.pieces],
-        "piece string, id int, rank int, score double")
+        [(p, rank[s] << 2 * PLACE_BITS, float(s), int(shared[s] > 1)) for p, _, s in model.pieces
+         if len(p) >= least], "piece string, rank bigint, score double, tied int")
     n = F.char_length("word")
-    spans = (words.select(*keys, "first_doc", F.explode(F.sequence(F.lit(1), n)).alias("from"))
-             .select("*", F.explode(F.sequence(F.lit(1), F.least(
-                 F.lit(model.longest), n - F.col("from") + 1))).alias("chars"))
-             .withColumn("piece", F.substring(F.col("word"), F.col("from"), F.col("chars"))))
-    # The piece table is bounded by the vocabulary. Single characters stay even without a piece,
-    # so that every word keeps a row.
-    found = (spans.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR chars = 1")
-             .withColumn("edge", F.when(F.col("id").isNotNull(), F.struct(
-                 "rank", (F.col("from") - 1).alias("s"), (F.col("from") - 1 + F.col("chars")).alias("e"),
-                 "id", "score"))))
-    lattice = (found.groupBy(*keys).agg(F.collect_list("edge").alias("edges"),
+    spans = (words.where(n >= least)
+             .select(*keys, "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
+             .select("*", F.explode(F.sequence(F.lit(least), F.least(
+                 F.lit(max(model.longest, least)), n - F.col("s")))).alias("chars"))
+             .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars"))))
+    # The piece table is bounded by the vocabulary.
+    found = spans.join(F.broadcast(table), "piece")
+    end = F.col("s") + F.col("chars")
+    edge = (F.struct("s", end.alias("e"), "score") if unigram
+            else F.col("rank") + F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + end)
+    lattice = (found.groupBy(*keys).agg(F.collect_list(edge).alias("edges"), F.sum("tied").alias("tied"),
                                         F.min("first_doc").alias("first_doc"))
                .withColumn("n", F.char_length("word"))
                .withColumn("borders", F.sequence(F.lit(0), F.col("n"))))
-    if model.kind == UNIGRAM:
-        worst = min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY
-        final = _viterbi(worst)
+    if unigram:
+        final = _viterbi(min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY)
     else:
-        merges = F.filter("edges", lambda edge: edge["e"] - edge["s"] > 1)
-        ranks = F.array_distinct(F.transform(merges, lambda edge: edge["rank"]))
-        ids = F.array_distinct(F.transform(merges, lambda edge: edge["id"]))
-        final = (F.when(F.size(merges) == 0, F.col("borders"))
-                 .when(F.size(ranks) == F.size(ids), _by_rank()).otherwise(_by_rank_with_ties()))
-    return (lattice.withColumn("final", final)
-            .select(*keys, "first_doc", _segment_ids(model).alias("ids")))
+        final = F.when(F.col("tied") < 2, _by_rank()).otherwise(_by_rank_with_ties())
+    return lattice.select(*keys, "first_doc", final.alias("borders"))
+
+
+class _Spelling:
+    """Ids of a word's segments, as the bytes of 32-bit numbers."""
+
+    def __init__(self, model: PieceModel):
+        self.ids = {p: i for p, i, _ in model.pieces}
+        self.first_byte, self.unknown = model.first_byte, model.unknown
+
+    def spelled(self, word: str, borders) -> bytes:
+        out = []
+        for s, e in zip(borders, borders[1:]):
+            piece = self.ids.get(word[s:e])
+            if piece is not None:
+                out.append(piece)
+            elif self.first_byte is None:
+                out.append(self.unknown)
+            else:
+                out.extend(self.first_byte + b for b in word[s:e].encode())
+        return np.array(out, dtype=np.int32).tobytes()
 
 
 def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text",
@@ -223,15 +240,31 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
     pattern = re.compile(model.chunk)
 
     def assemble(docs_of: pa.Table, words_of: pa.Table) -> pa.Table:
-        ids = words_of.column("ids").combine_chunks()
-        table = dict(zip(words_of.column("word").to_pylist(), ids.to_pylist(), strict=True))
-        out = []
-        for text in docs_of.column("text").to_pylist():
-            marked = SPACE + text.replace(" ", SPACE) if text else ""
-            out.append([i for word in pattern.findall(marked) for i in table[word]])
-        return pa.Table.from_arrays(
-            [docs_of.column("doc"), docs_of.column("text"), pa.array(out, pa.list_(pa.int32()))],
-            names=["doc", "text", "ids"])
+        spelling = _Spelling(model)
+        table = {}
+        for batch in words_of.select(["word", "borders"]).to_batches(max_chunksize=10_000):
+            ends = batch.column("borders").offsets.to_pylist()
+            borders = batch.column("borders").values.to_numpy().tolist()
+            for word, a, b in zip(batch.column("word").to_pylist(), ends, ends[1:]):
+                table[word] = spelling.spelled(word, borders[a - ends[0]:b - ends[0]])
+        out, sizes = [], [0]
+        for batch in docs_of.select(["text"]).to_batches(max_chunksize=100):
+            for text in batch.column("text").to_pylist():
+                marked = SPACE + text.replace(" ", SPACE) if text else ""
+                words = pattern.findall(marked)
+                for word in words:
+                    if word not in table:
+                        table[word] = spelling.spelled(word, range(len(word) + 1))
+                ids = np.frombuffer(b"".join([table[word] for word in words]), dtype=np.int32)
+                if model.first_byte is None:  # neighbouring unknown characters are one unknown piece
+                    again = (ids[1:] == model.unknown) & (ids[:-1] == model.unknown)
+                    ids = ids[np.concatenate(([True] * min(len(ids), 1), ~again))]
+                out.append(ids)
+                sizes.append(sizes[-1] + len(ids))
+        ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()),
+                                       pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
+        return pa.Table.from_arrays([docs_of.column("doc"), docs_of.column("text"), ids],
+                                    names=["doc", "text", "ids"])
 
     return (rows.groupBy("block").cogroup(known.groupBy("of_block"))
             .applyInArrow(assemble, "doc bigint, text string, ids array<int>")
