@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from tagloom.llm.shared import NO_ID, text_or_empty
 
 SPACE = "▁"
-BLOCK_BYTES = 24 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 UNIGRAM, BPE = 1, 2
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u1fff\u2c00-\u2dff\u3005-\ud7ff"
 UNKNOWN_PENALTY = 10.0
 
 
@@ -77,20 +78,19 @@ class PieceModel:
 
 
 def chunk_pattern(pieces: list[str]) -> str:
-    """Pattern of parts of an escaped text that no piece crosses.
+    """Pattern of parts of an escaped text that no piece crosses, for Java and Python alike.
 
-    Only characters of longer pieces can be merged. Letters are parted from other characters if no
-    piece joins the two, and a space mark begins a part if no piece has one inside.
+    A space mark begins a part if no piece has one inside. Letters are parted from other characters, and
+    line breaks from both, if no piece joins them. Few and wide ranges keep the matching fast.
     """
-    longer = [p for p in pieces if len(p) > 1]
-    if any(SPACE in p.lstrip(SPACE) for p in longer):
+    longer = [p.lstrip(SPACE) for p in pieces]
+    if any(SPACE in p for p in longer):
         return r"(?s).+"
-    used = sorted(set("".join(longer)) - {SPACE})
-    mixed = any(a.isalpha() != b.isalpha() for p in longer for a, b in zip(p, p[1:]) if a != SPACE)
-    letters = "".join(map(re.escape, (c for c in used if mixed or c.isalpha())))
-    others = "".join(map(re.escape, (c for c in used if not mixed and not c.isalpha())))
-    parts = [f"[{x}]+" for x in (letters, others) if x] + [f"[^{letters}{others}{SPACE}]+"]
-    return f"{SPACE}*(?:{'|'.join(parts)})|{SPACE}+"
+    kinds = [f"[{LETTERS}]+", f"[^{LETTERS}{SPACE}\n]+", r"\n+"]
+    part = re.compile("|".join(kinds))
+    if all(part.fullmatch(p) for p in longer if p):
+        return f"{SPACE}*(?:{'|'.join(kinds)})|{SPACE}+"
+    return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 
 
 def escaped(text: Column) -> Column:
