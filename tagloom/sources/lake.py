@@ -7,9 +7,11 @@ overwritten while it is read, and a write that fails leaves the table as it was.
 """
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,23 @@ class Manifest:
                    T.StructType.fromJson(raw["schema"]), raw["partitions"], raw["folders"])
 
 
+def _as_stored(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows in the stored types; running it fails on a value that does not come back unchanged."""
+    given = {f.name: f.dataType for f in rows.schema.fields}
+
+    def column(field: T.StructField):
+        value = F.col(field.name)
+        if given[field.name] == field.dataType:
+            return value
+        made = value.try_cast(field.dataType)
+        back = made.try_cast(given[field.name])
+        refuse = F.raise_error(F.concat(F.lit(f"{field.name} cannot be stored as "
+                                              f"{field.dataType.simpleString()}: "), value.cast("string")))
+        return F.when(value.eqNullSafe(back), made).otherwise(refuse.cast(field.dataType)).alias(field.name)
+
+    return rows.select(*map(column, schema.fields))
+
+
 class Lake:
     """Named tables below one root folder that all executors share."""
 
@@ -60,11 +79,11 @@ class Lake:
         self.read(name).show(rows, truncate)
 
     def overwrite(self, table: DataFrame, name: str, partition_by: str = PARTITION_COLUMN) -> None:
-        """Replace the table by new rows."""
-        version = self._next_version(name)
-        written = self._write_load(table, name, version, partition_by)
+        """Replace the table by new rows; fails if someone else writes it meanwhile."""
+        version, load = max([0, *self._versions(name)]) + 1, self._next_load(name)
+        written = self._write_load(table, name, load, partition_by)
         self._commit(name, Manifest(version, partition_by, table.schema,
-                                    {p: [version] for p in written}, {str(version): len(written)}))
+                                    {p: [load] for p in written}, {str(load): len(written)}))
 
     def upsert(self, rows: DataFrame, name: str, key: str = "Id",
                partition_by: str = PARTITION_COLUMN) -> None:
@@ -72,7 +91,9 @@ class Lake:
 
         Only partitions that hold a matched row are rewritten; other new rows are added
         beside what is there. A key given twice is an error if the table holds it, since
-        it is then unclear which row wins. A missing table is created.
+        it is then unclear which row wins. A missing table is created. Columns take the
+        stored types; a value that its type cannot hold is an error. The upsert fails if
+        someone else writes the table meanwhile, since it would undo their work.
         """
         if not self.exists(name):
             self.overwrite(rows, name, partition_by)
@@ -83,9 +104,9 @@ class Lake:
             raise ValueError(f"columns differ from table {name}: {sorted(missing)}")
         partition_by = current.partition_column
         if not current.partitions:
-            self.overwrite(rows.select(*current.schema.names), name, partition_by)
+            self.overwrite(_as_stored(rows, current.schema), name, partition_by)
             return
-        with staged(rows.select(*current.schema.names), f"upsert-{name}") as incoming:
+        with staged(_as_stored(rows, current.schema), f"upsert-{name}") as incoming:
             keys = incoming.select(key).where(F.col(key).isNotNull())
             folder = F.regexp_extract("_metadata.file_path", f"({partition_by}=[^/]*)/[^/]*$", 1)
             # Keys mostly grow with time: their range lets the scan skip whole row groups.
@@ -100,13 +121,14 @@ class Lake:
             touched = {unquote(row.folder)
                        for row in matched.select("folder").distinct().toLocalIterator()}
             kept = self._scan(name, current, touched).join(keys, key, "left_anti")
-            version = self._next_version(name)
-            written = self._write_load(kept.unionByName(incoming), name, version, partition_by)
+            load = self._next_load(name)
+            written = self._write_load(kept.unionByName(incoming), name, load, partition_by)
         partitions = {p: loads for p, loads in current.partitions.items() if p not in touched}
         for partition in written:
-            partitions[partition] = [*partitions.get(partition, []), version]
-        self._commit(name, Manifest(version, partition_by, current.schema, partitions,
-                                    {**current.folders, str(version): len(written)}))
+            partitions[partition] = [*partitions.get(partition, []), load]
+        # The number that follows the version read: taken already if someone else has committed.
+        self._commit(name, Manifest(current.version + 1, partition_by, current.schema, partitions,
+                                    {**current.folders, str(load): len(written)}))
 
     def overwrite_all(self, tables: dict[str, DataFrame], partition_by: str = PARTITION_COLUMN) -> None:
         for name, table in tables.items():
@@ -133,11 +155,16 @@ class Lake:
         reader = self.spark.read.schema(manifest.schema).option("basePath", self._data(name))
         return reader.parquet(*paths) if paths else self.spark.createDataFrame([], manifest.schema)
 
-    def _write_load(self, table: DataFrame, name: str, version: int, partition_by: str) -> list[str]:
+    def _write_load(self, table: DataFrame, name: str, load: int, partition_by: str) -> list[str]:
         """Write new files and return the partition folders they are in."""
-        path = f"{self._data(name)}/{LOAD_COLUMN}={version}"
+        path = f"{self._data(name)}/{LOAD_COLUMN}={load}"
         # Rebalancing gathers a partition's rows into few files and splits a hot one.
-        table.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+        try:
+            table.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise RuntimeError(f"table {name} was written by someone else at the same time") from error
         return [p for p in self._children(path) if p.startswith(f"{partition_by}=")]
 
     def _data(self, name: str) -> str:
@@ -150,8 +177,8 @@ class Lake:
         return [int(f.removesuffix(".json")) for f in self._children(self._manifests(name))
                 if f.endswith(".json")]
 
-    def _next_version(self, name: str) -> int:
-        """A number that neither a manifest nor the files of a failed write have taken."""
+    def _next_load(self, name: str) -> int:
+        """A number that no earlier write has taken, not even a failed one."""
         started = [int(f.partition("=")[2]) for f in self._children(self._data(name))]
         return max([0, *self._versions(name), *started]) + 1
 
@@ -170,13 +197,14 @@ class Lake:
     def _commit(self, name: str, manifest: Manifest) -> None:
         """Make the new version visible by renaming its complete manifest into place."""
         final, fs = self._path(f"{self._manifests(name)}/{manifest.version}.json")
-        draft, _ = self._path(f"{self._manifests(name)}/{manifest.version}.draft")
+        draft, _ = self._path(f"{self._manifests(name)}/{manifest.version}-{uuid.uuid4().hex}.draft")
         output = fs.create(draft, False)
         try:
             output.write(bytearray(manifest.to_json().encode("utf-8")))
         finally:
             output.close()
-        if not fs.rename(draft, final):
+        if fs.exists(final) or not fs.rename(draft, final):
+            fs.delete(draft, False)
             raise RuntimeError(f"table {name} was written by someone else at the same time")
 
     def _children(self, folder: str) -> list[str]:

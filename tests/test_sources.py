@@ -209,3 +209,35 @@ def test_merge_is_left_to_the_table_format(spark):
             merge_by_key(rows_in, "plain_merge_target")
     finally:
         spark.sql("DROP TABLE plain_merge_target")
+
+
+def small_table(spark, rows, value="int"):
+    return spark.createDataFrame(rows, f"Id int, Value {value}, PartitionDate string")
+
+
+def test_upsert_on_a_stale_version_fails_and_loses_nothing(spark, tmp_path):
+    lake, other = Lake(spark, str(tmp_path)), Lake(spark, str(tmp_path))
+    lake.overwrite(small_table(spark, [(1, 1, "a"), (2, 2, "a")]), "t")
+    write = lake._write_load
+
+    def slow_write(*args):
+        other.upsert(small_table(spark, [(2, 99, "a"), (5, 5, "b")]), "t")
+        lake._write_load = write
+        return write(*args)
+
+    lake._write_load = slow_write
+    with pytest.raises(RuntimeError, match="someone else"):
+        lake.upsert(small_table(spark, [(1, 10, "a")]), "t")
+    assert sorted(tuple(r)[:2] for r in lake.read("t").collect()) == [(1, 1), (2, 99), (5, 5)]
+    lake.upsert(small_table(spark, [(1, 10, "a")]), "t")
+    assert sorted(tuple(r)[:2] for r in lake.read("t").collect()) == [(1, 10), (2, 99), (5, 5)]
+
+
+@pytest.mark.parametrize("kind,good,bad", [("bigint", 7, 2 ** 40), ("string", "7", "seven"), ("double", 7.0, 7.5)])
+def test_upsert_stores_the_tables_types(spark, tmp_path, kind, good, bad):
+    lake = Lake(spark, str(tmp_path))
+    lake.overwrite(small_table(spark, [(1, 1, "a")]), "t")
+    lake.upsert(small_table(spark, [(1, good, "a"), (2, None, "a")], kind), "t")
+    with pytest.raises(Exception, match="cannot be stored"):
+        lake.upsert(small_table(spark, [(1, bad, "a")], kind), "t")
+    assert sorted((r.Id, r.Value) for r in lake.read("t").collect()) == [(1, 7), (2, None)]
