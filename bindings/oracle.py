@@ -343,12 +343,22 @@ DESCRIBE = " UNION ALL ".join(
     f"SELECT '{name}' AS summary, round({call('Score')}, 6) AS Score, "
     f"round({call('WordsCount')}, 6) AS WordsCount, {day} AS PartitionDate FROM answers"
     for name, call, day in (
-        ("count", lambda c: f"CAST(count({c}) AS DOUBLE)", "CAST(NULL AS VARCHAR)"),
+        ("count", lambda c: f"CAST(count({c}) AS DOUBLE)", "CAST(count(PartitionDate) AS VARCHAR)"),
         ("mean", lambda c: f"avg({c})", "NULL"),
         ("stddev", lambda c: f"stddev_samp({c})", "NULL"),
         ("min", lambda c: f"CAST(min({c}) AS DOUBLE)", "min(PartitionDate)"),
         ("max", lambda c: f"CAST(max({c}) AS DOUBLE)", "max(PartitionDate)")))
 
+SUMMARIZE = " UNION ALL ".join(
+    f"SELECT '{name}' AS summary, " + ", ".join(
+        f"round(CAST({call(c)} AS DOUBLE), 6) AS {c}" for c in ("Score", "WordsCount", "OwnerUserId"))
+    + " FROM answers"
+    for name, call in (
+        ("count", lambda c: f"count({c})"), ("mean", lambda c: f"avg({c})"),
+        ("stddev", lambda c: f"stddev_samp({c})"), ("min", lambda c: f"min({c})"),
+        ("25%", lambda c: f"quantile_disc({c}, 0.25)"), ("50%", lambda c: f"quantile_disc({c}, 0.5)"),
+        ("75%", lambda c: f"quantile_disc({c}, 0.75)"), ("max", lambda c: f"max({c})")))
+
 UPSERT = """, new_rows AS (
     SELECT Id, PostId, Score, WordsCount + 1 AS WordsCount, 0 AS Sentiment, '31_01_2024' AS PartitionDate
     FROM comments WHERE event_type = 'purchase'
@@ -387,6 +397,7 @@ def all_oracles():
             "FROM moment_tags m JOIN tags t ON m.Tag = t.TagName GROUP BY ALL"),
         "data_profile": raw(raw_counts()),
         "describe_posts": lake(DESCRIBE),
+        "summarize_posts": lake(SUMMARIZE),
         "comment_sentiment": "SELECT doc_id, " + sentiment(
             "text", ("the", "of", "and", "best"), ("de", "der", "idiot", "stupid", "worthless"))
         + " AS Sentiment FROM documents",
@@ -442,7 +453,7 @@ def all_oracles():
                 CAST(NULL AS INTEGER) AS CommentCount, CAST(NULL AS INTEGER) AS FavoriteCount,
                 CAST(NULL AS VARCHAR) AS ClosedDate, CAST(NULL AS VARCHAR) AS CommunityOwnedDate,
                 CAST(NULL AS VARCHAR) AS ContentLicense
-            FROM raw_posts WHERE Id IS NOT NULL"""),
+            FROM raw_posts"""),
         "partitioned_write": lake("SELECT * EXCLUDE (event_type) FROM comments"),
         "upsert_by_id": lake(UPSERT),
         "etl_initial": raw("SELECT * FROM first_load"),

@@ -98,11 +98,13 @@ def describe_posts(spark, folder):
     return described.select(
         "summary", F.round(F.col("Score").cast("double"), 6).alias("Score"),
         F.round(F.col("WordsCount").cast("double"), 6).alias("WordsCount"),
-        F.when(F.col("summary").isin("min", "max"), F.col("PartitionDate")).alias("PartitionDate"))
+        F.when(F.col("summary").isin("count", "min", "max"), F.col("PartitionDate")).alias("PartitionDate"))
 
 
 def summarize_posts(spark, folder):
-    return profile.summarize(t.lake_answers(spark, folder).select("Score", "WordsCount", "OwnerUserId"))
+    names = ("Score", "WordsCount", "OwnerUserId")
+    summary = profile.summarize(t.lake_answers(spark, folder).select(*names))
+    return summary.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in names])
 
 
 # --- sentiment -------------------------------------------------------------------------------
@@ -242,7 +244,7 @@ def rule_graph_nodes(spark, folder):
 def csv_roundtrip(spark, folder):
     path = new_path(spark, "csv")
     write_csv(t.raw_posts(spark, folder), path)
-    return comparable(read_csv(spark, [path], schemas.POSTS).dropna("all"))
+    return comparable(read_csv(spark, [path], schemas.POSTS))
 
 
 def result_roundtrip(spark, folder):
