@@ -177,8 +177,10 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
         [(p, rank[s] << 2 * PLACE_BITS, float(s), int(shared[s] > 1)) for p, _, s in model.pieces
          if len(p) >= least], "piece string, rank bigint, score double, tied int")
     n = F.char_length("word")
-    spans = (words.where(n >= least)
-             .select(*keys, "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
+    # Words are numbered in the order in which they lie in their task, so that their edges, which stay in
+    # that order, are grouped by a number that needs hardly any sorting. The numbers do not leave the task.
+    spans = (words.where(n >= least).withColumn("number", F.monotonically_increasing_id())
+             .select("number", *keys, "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
              .select("*", F.explode(F.sequence(F.lit(least), F.least(
                  F.lit(max(model.longest, least)), n - F.col("s")))).alias("chars"))
              .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars"))))
@@ -187,8 +189,9 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
     end = F.col("s") + F.col("chars")
     edge = (F.struct("s", end.alias("e"), "score") if unigram
             else F.col("rank") + F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + end)
-    lattice = (found.groupBy(*keys).agg(F.collect_list(edge).alias("edges"), F.sum("tied").alias("tied"),
-                                        F.min("first_doc").alias("first_doc"))
+    lattice = (found.groupBy("number", *keys)
+               .agg(F.collect_list(edge).alias("edges"), F.sum("tied").alias("tied"),
+                    F.min("first_doc").alias("first_doc"))
                .withColumn("n", F.char_length("word"))
                .withColumn("borders", F.sequence(F.lit(0), F.col("n"))))
     if unigram:
