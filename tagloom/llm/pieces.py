@@ -13,7 +13,6 @@ Everything up to the last step is keyed by block, so documents move once, to the
 else is shuffled: words, edges and results of a block stay in its partition.
 """
 
-import hashlib
 import re
 import struct
 from collections import Counter
@@ -226,9 +225,16 @@ class _Spelling(dict):
         return struct.pack(f"{len(out)}i", *out)
 
 
+def _decoded(ids: np.ndarray, names: tuple) -> str:
+    text = b"".join(map(names.__getitem__, ids.tolist())).decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
+
+
 def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Piece ids of each whole text: doc_id, ids, text_sha256 (of the text that was encoded).
+           block_bytes: int = BLOCK_BYTES, check: bool = False) -> DataFrame:
+    """Piece ids of each whole text: doc_id, ids and, with ``check``, round_trip.
+
+    ``round_trip`` says whether the ids, decoded where they were made, give the text back.
 
     * NULL and empty texts have no pieces. A space mark in a text is read as a space.
     * Rows repeated in full are encoded each; a missing id stays NULL. Other columns are ignored.
@@ -257,7 +263,7 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
             for word, a, b in zip(batch.column("word").to_pylist(), ends, ends[1:]):
                 table[word] = table.spelled(word, borders[a:b])
         del words_of
-        out, sizes, sums = [], [0], []
+        out, sizes, same = [], [0], []
         for batch in docs_of.select(["text"]).to_batches(max_chunksize=100):
             for text in batch.column("text").to_pylist():
                 marked = SPACE + text.replace(" ", SPACE) if text else ""
@@ -268,15 +274,17 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
                     ids = held[np.concatenate(([True] * min(len(held), 1), ~again))].tobytes()
                 out.append(ids)
                 sizes.append(sizes[-1] + len(ids) // 4)
-                sums.append(hashlib.sha256(text.encode()).hexdigest())
+                if check:
+                    same.append(_decoded(np.frombuffer(ids, dtype=np.int32), model.names) == text)
         ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(
             np.frombuffer(b"".join(out), dtype=np.int32)))
-        return pa.Table.from_arrays([docs_of.column("doc"), ids, pa.array(sums, pa.string())],
-                                    names=["doc", "ids", "text_sha256"])
+        checked = {"round_trip": pa.array(same, pa.bool_())} if check else {}
+        return pa.table({"doc": docs_of.column("doc"), "ids": ids, **checked})
 
+    checked = ["round_trip"] if check else []
     return (rows.groupBy("block").cogroup(known.groupBy("of_block"))
-            .applyInArrow(assemble, "doc bigint, ids array<int>, text_sha256 string")
-            .select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "ids", "text_sha256"))
+            .applyInArrow(assemble, "doc bigint, ids array<int>" + ", round_trip boolean" * check)
+            .select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "ids", *checked))
 
 
 def decode(rows: DataFrame, model: PieceModel, ids_column: str = "ids",
@@ -289,12 +297,7 @@ def decode(rows: DataFrame, model: PieceModel, ids_column: str = "ids",
 
     @F.pandas_udf("string")
     def texts(column):
-        def one(ids):
-            if ids is None:
-                return None
-            text = b"".join(map(names.__getitem__, ids.tolist())).decode("utf-8", "replace")
-            return text[1:] if text.startswith(" ") else text
-        return column.map(one, na_action=None)
+        return column.map(lambda ids: None if ids is None else _decoded(ids, names), na_action=None)
 
     return rows.withColumn(into, texts(F.col(ids_column)))
 
@@ -309,6 +312,5 @@ def encode_and_check(spark: SparkSession, docs: DataFrame, model_path: str | Non
                      **options) -> DataFrame:
     """Ids of each document, and whether decoding them gives its text back."""
     model = PieceModel.load(model_path or default_model_path())
-    rows = decode(encode(docs, model, **options), model)
-    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
-                       (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
+    rows = encode(docs, model, check=True, **options)
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip")
