@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from tagloom.llm.shared import NO_ID, text_or_empty
 
 SPACE = "▁"
-BLOCK_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
+MAX_PARTITIONS = 20_000
+"""Beyond this many partitions, or the session's number if it is higher, blocks share tasks, which then spill."""
 UNIGRAM, BPE = 1, 2
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u1fff\u2c00-\u2dff\u3005-\ud7ff"
 UNKNOWN_PENALTY = 10.0
@@ -162,7 +164,7 @@ def _viterbi(worst: float) -> Column:
 
 
 def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
-    """``words`` (the keys, one of them ``word``; and ``first_doc``) with the borders of their segments.
+    """``words`` (the keys, ``word`` and ``first_doc``) with the borders of their segments.
 
     Words that no piece of two or more characters touches are left out: each character stands alone.
     """
@@ -179,7 +181,7 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
     # Words are numbered in the order in which they lie in their task, so that their edges, which stay in
     # that order, are grouped by a number that needs hardly any sorting. The numbers do not leave the task.
     spans = (words.where(n >= least).withColumn("number", F.monotonically_increasing_id())
-             .select("number", *keys, "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
+             .select("number", *keys, "word", "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
              .select("*", F.explode(F.sequence(F.lit(least), F.least(
                  F.lit(max(model.longest, least)), n - F.col("s")))).alias("chars"))
              .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars"))))
@@ -188,16 +190,18 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
     end = F.col("s") + F.col("chars")
     edge = (F.struct("s", end.alias("e"), "score") if unigram
             else F.col("rank") + F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + end)
-    lattice = (found.groupBy("number", *keys)
-               .agg(F.collect_list(edge).alias("edges"), F.sum("tied").alias("tied"),
-                    F.min("first_doc").alias("first_doc"))
+    # Few and short columns enter the grouping, which is what fills a task's memory.
+    lattice = (found.select("number", *keys, "word", "first_doc", edge.alias("edge"), "tied")
+               .groupBy("number", *keys)
+               .agg(F.first("word").alias("word"), F.collect_list("edge").alias("edges"),
+                    F.sum("tied").alias("tied"), F.min("first_doc").alias("first_doc"))
                .withColumn("n", F.char_length("word"))
                .withColumn("borders", F.sequence(F.lit(0), F.col("n"))))
     if unigram:
         final = _viterbi(min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY)
     else:
         final = F.when(F.col("tied") < 2, _by_rank()).otherwise(_by_rank_with_ties())
-    return lattice.select(*keys, "first_doc", final.alias("borders"))
+    return lattice.select(*keys, "word", "first_doc", final.alias("borders"))
 
 
 class _Spelling(dict):
@@ -247,12 +251,14 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
         F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).alias("block"),
         F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
         text_or_empty(text_column).alias("text"))
-    rows = rows.repartition("block")
+    # A stated number of partitions keeps Spark from laying many blocks into one task at any input size.
+    wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(min(2 * blocks, max(wide, MAX_PARTITIONS)), "block")
     chunks = F.regexp_extract_all(escaped(F.col("text")), F.lit(model.chunk), F.lit(0))
     # ``first_doc`` keeps both uses of ``rows`` alike, so that their exchange is made once.
     words = (rows.select("block", "doc", F.explode(F.array_distinct(chunks)).alias("word"))
              .groupBy("block", "word").agg(F.min("doc").alias("first_doc")))
-    known = segmented(words, model, ["block", "word"]).withColumnRenamed("block", "of_block")
+    known = segmented(words, model, ["block"]).withColumnRenamed("block", "of_block")
     pattern = re.compile(model.chunk)
 
     def assemble(docs_of: pa.Table, words_of: pa.Table) -> pa.Table:
