@@ -224,7 +224,7 @@ def top_itemsets(spark, folder):
 
 
 def rules(spark, folder):
-    return mining.association_rules(mined(spark, folder), t.given(spark, folder, "orders").count())
+    return mining.association_rules(mined(spark, folder), mining.count_baskets(t.lake_questions(spark, folder)))
 
 
 def association_rules(spark, folder):

@@ -18,6 +18,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--comments", nargs="+", required=True)
     load.add_argument("--synonyms", nargs="+", required=True)
     load.add_argument("--incremental", action="store_true", help="upsert by Id; default: overwrite")
+    load.add_argument("--rejects", help="folder for records that do not fit; default: such a record fails the load")
     preview = jobs.add_parser("preview", help="print the first rows of each lake table")
     preview.add_argument("--rows", type=int, default=100)
     analyse = jobs.add_parser("analyse", help="write the result tables as CSV folders")
@@ -34,7 +35,8 @@ def main(given: list[str] | None = None) -> None:
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     lake = Lake(spark, args.lake)
     if args.job == "load":
-        run_etl(spark, lake, args.posts, args.comments, args.synonyms, args.incremental)
+        run_etl(spark, lake, args.posts, args.comments, args.synonyms, args.incremental,
+                rejects=args.rejects)
     elif args.job == "preview":
         for name in (schemas.QUESTIONS_TABLE, schemas.ANSWERS_TABLE, schemas.COMMENTS_TABLE):
             lake.preview(name, args.rows)

@@ -38,10 +38,16 @@ def top_itemsets(itemsets: DataFrame, top: int = TOP_ITEMSETS) -> DataFrame:
     return labelled.orderBy(F.desc("freq"), "items", "item_list").limit(top)
 
 
+def count_baskets(questions: DataFrame) -> int:
+    """Questions that FP-growth counts: those whose ``Tags`` are not NULL."""
+    return questions.where(F.col("Tags").isNotNull()).count()
+
+
 def association_rules(itemsets: DataFrame, questions: int,
                       min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules with a single consequent, from all frequent sets of so many questions.
 
+    ``questions`` is the ``count_baskets`` of the questions that the sets were mined from.
     Both sides come as label and as list. Every part of a frequent set is frequent itself,
     so the joins find the counts of both sides.
     """

@@ -38,7 +38,7 @@ def run_analysis(lake: Lake, output: str, mode: str = "errorifexists") -> None:
         results = {
             "general_info": trends.general_info(asked, answers, comments),
             "top_most_frequent_tags": mining.top_itemsets(itemsets).drop("item_list"),
-            "association_rules_df": mining.association_rules(itemsets, asked.count()).drop(
+            "association_rules_df": mining.association_rules(itemsets, mining.count_baskets(asked)).drop(
                 "antecedent_list", "consequent_list"),
             "tags_frequency": trends.tag_frequency_series(trends.with_partition_timestamp(asked)),
             "final_df": scorecard.tag_scorecard(info),

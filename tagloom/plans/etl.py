@@ -11,16 +11,34 @@ from tagloom.sources.csv import read_csv
 from tagloom.sources.lake import Lake
 from tagloom.staging import staged
 
+CORRUPT = "_corrupt_record"
+
 
 def run_etl(spark: SparkSession, lake: Lake, posts_csv: list[str], comments_csv: list[str],
             synonyms_csv: list[str], incremental: bool,
-            sentiment: Scorer | None = None) -> None:
-    """Clean the exports and load them, by upsert when incremental, else by overwrite."""
-    load_lake(lake,
-              read_csv(spark, posts_csv, schemas.POSTS),
-              read_csv(spark, comments_csv, schemas.COMMENTS),
-              read_csv(spark, synonyms_csv, schemas.TAG_SYNONYMS),
-              incremental, sentiment)
+            sentiment: Scorer | None = None, rejects: str | None = None) -> None:
+    """Clean the exports and load them, by upsert when incremental, else by overwrite.
+
+    A record that does not fit its schema fails the load. With ``rejects``, a folder, such records are
+    written there instead, as Parquet per export and with their text, and all others are loaded.
+    """
+    exports = {"posts": (posts_csv, schemas.POSTS), "comments": (comments_csv, schemas.COMMENTS),
+               "synonyms": (synonyms_csv, schemas.TAG_SYNONYMS)}
+    load_lake(lake, *[_fitting(spark, paths, schema, rejects and f"{rejects}/{name}")
+                      for name, (paths, schema) in exports.items()], incremental, sentiment)
+
+
+def _fitting(spark: SparkSession, paths: list[str], schema: str, rejects: str | None) -> DataFrame:
+    """The records that fit the schema; see ``run_etl`` for the others.
+
+    A record is judged by the columns that are read, so one that is bad only in a column that no
+    table needs is loaded, and listed among the rejects too.
+    """
+    if rejects is None:
+        return read_csv(spark, paths, schema, mode="FAILFAST")
+    rows = read_csv(spark, paths, schema, corrupt_column=CORRUPT)
+    rows.where(F.col(CORRUPT).isNotNull()).write.mode("append").parquet(rejects)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def load_lake(lake: Lake, posts: DataFrame, comments: DataFrame, synonyms: DataFrame,

@@ -142,3 +142,9 @@ def test_series_covers_exactly_the_leading_tags(lake):
     assert as_set(series) == as_set(counts.where(F.col("Tag").isin(*leading)))
     days = [r.PartitionDate for r in series.collect()]
     assert days == sorted(days)
+
+
+def test_support_counts_the_baskets_that_were_mined(spark):
+    asked = spark.createDataFrame([(["a", "b"],), (["a"],), (None,), (None,)], "Tags array<string>")
+    rules = mining.association_rules(mining.frequent_itemsets(asked), mining.count_baskets(asked)).collect()
+    assert {(r.antecedent, r.support, r.lift) for r in rules} == {("a", 0.5, 1.0), ("b", 0.5, 1.0)}

@@ -10,6 +10,7 @@ from tagloom import schemas
 from tagloom.__main__ import main
 from tagloom.plans.analysis import RESULTS, read_result
 from tagloom.sources.catalog import merge_by_key
+from tagloom.plans.etl import run_etl
 from tagloom.sources.csv import flatten_arrays, read_csv, write_csv
 from tagloom.sources.lake import Lake
 from tagloom.staging import scratch_dir, staged
@@ -241,3 +242,18 @@ def test_upsert_stores_the_tables_types(spark, tmp_path, kind, good, bad):
     with pytest.raises(Exception, match="cannot be stored"):
         lake.upsert(small_table(spark, [(1, bad, "a")], kind), "t")
     assert sorted((r.Id, r.Value) for r in lake.read("t").collect()) == [(1, 7), (2, None)]
+
+
+def test_load_neither_loses_nor_merges_records_that_do_not_fit(spark, forum, tmp_path):
+    for name in ("posts", "comments", "synonyms"):
+        write_csv(getattr(forum, name), f"{tmp_path}/{name}")
+    head = ",".join(forum.comments.columns)
+    (tmp_path / "bad.csv").write_text(f"{head}\nx3,1,0,text,2020-01-01T00:00:00Z,,5,\n")
+    paths = [[f"{tmp_path}/posts"], [f"{tmp_path}/comments", f"{tmp_path}/bad.csv"], [f"{tmp_path}/synonyms"]]
+    lake = Lake(spark, f"{tmp_path}/lake")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        run_etl(spark, lake, *paths, incremental=False)
+    run_etl(spark, lake, *paths, incremental=False, rejects=f"{tmp_path}/rejects")
+    assert lake.read("comments").count() == 4
+    assert [r._corrupt_record[:2] for r in spark.read.parquet(f"{tmp_path}/rejects/comments").collect()] == ["x3"]
+    assert spark.read.parquet(f"{tmp_path}/rejects/posts").isEmpty()
