@@ -1,0 +1,63 @@
+"""The fill-in-the-middle operator beside a plain cutting of the text by a pattern."""
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tagloom.llm.fill_middle import Rates, UnitBorders, fill_in_middle, restored
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+ALPHABET = " \t\n\x0b\x0c\r\x08\x0e\x1f!~\x7f\x85\xa0é漢\U0001f600ab<>PSM"
+
+
+def by_pattern(doc_id, text):
+    h = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[k:k + 8], 16) for k in (0, 8, 16, 24))
+    text = text or ""
+    units = UNIT.findall(text)
+    n = len(units)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return doc_id, n, "plain", None, None, text
+    if h4 % 100 < 80:
+        return doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_borders_of_random_texts_equal_those_of_the_pattern():
+    dice = random.Random(5)
+    texts = ["".join(dice.choices(ALPHABET, k=dice.choice([0, 1, 2, 7, 8, 9, 15, 16, 17, 40]))) for _ in range(3000)]
+    texts += [" ", "a", " " * 8, "a" * 8, "a" * 64, " " * 64, "ab cdefg", "abcdefg "]
+    encoded = [t.encode() for t in texts]
+    borders = UnitBorders(encoded)
+    units = [UNIT.findall(t) for t in texts]
+    assert borders.counts.tolist() == [len(u) for u in units]
+    for share in (0, 0.3, 0.5, 0.9, 1):
+        some = [round(share * len(u)) for u in units]
+        import numpy as np
+        offsets = borders.offsets(np.array(some, np.int64)).tolist()
+        assert offsets == [len("".join(u[:k]).encode()) for u, k in zip(units, some, strict=True)]
+
+
+def test_outputs_equal_brute_force_and_turn_back(spark):
+    dice = random.Random(6)
+    rows = [(i, "".join(dice.choices(ALPHABET, k=dice.randrange(60)))) for i in range(1500)]
+    rows += [(7, None), (8, ""), (9, "has <P> in it"), (10, "<S>"), (None, "no id at all"), (None, None),
+             (11, "word " * 40000), (12, "x" * 300000), (11, "word " * 40000), (13, " \n\t ")]
+    docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id bigint, text string, output string, n int")
+    made = fill_in_middle(docs).withColumn("back", restored())
+    got = made.collect()
+    assert sorted(map(repr, ((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in got))) == sorted(
+        map(repr, (by_pattern(*r) for r in rows)))
+    assert {r.form for r in got} == {"plain", "psm", "spm"}
+    assert sorted((str(r.doc_id), r.back) for r in got) == sorted((str(i), t or "") for i, t in rows)
+    assert fill_in_middle(docs.limit(0)).collect() == []
+
+
+def test_rates_are_parameters(spark):
+    docs = spark.range(400).select(F.col("id").alias("key"), F.lit("one two three").alias("body"))
+    forms = {r.form: r["count"] for r in fill_in_middle(docs, Rates(7, 100, 0), "key", "body").groupBy("form").count().collect()}
+    assert forms == {"psm": 400}
