@@ -1,13 +1,15 @@
-"""The ten operators bound to the given tables, with their production parameters."""
+"""The operators bound to the given tables, with their production parameters."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import quality
+from tagloom.llm import quality, toxicity
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.exact_dedup import exact_groups
+from tagloom.llm.fill_middle import fill_in_middle, restored
+from tagloom.llm.filter_audit import audit_filters
 from tagloom.llm.licenses import scan_licenses
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.near_dedup import near_duplicates
@@ -66,6 +68,21 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), Tokenizer.load()).drop("field")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle(table(spark, folder, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -78,4 +95,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_sharding": op9_sharding,
         "op10_token_counts": op10_token_counts,
+        "op11_toxicity": op11_toxicity,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
