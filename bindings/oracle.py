@@ -372,6 +372,20 @@ SELECT Id, PostId, Score, WordsCount, Sentiment, PartitionDate FROM comments
 WHERE Id NOT IN (SELECT Id FROM new_rows)"""
 
 
+REJECTS = """, exported AS (
+    SELECT 'posts' AS Export, NULL AS Id, false AS Bad, true AS Dated FROM raw_posts
+    UNION ALL SELECT 'synonyms', NULL, false, true FROM synonyms
+    UNION ALL SELECT 'comments', CASE Id % 13 WHEN 0 THEN 'x' ELSE '' END || Id, Id % 13 < 3, CreationDate IS NOT NULL
+    FROM raw_comments
+)
+SELECT Export, Outcome, CAST(NULL AS VARCHAR) AS Id, Records
+FROM (SELECT Export, count(*) AS Read, count(*) FILTER (WHERE NOT Bad) AS Loaded, count(*) FILTER (WHERE Bad) AS Rejected
+      FROM exported GROUP BY Export) UNPIVOT (Records FOR Outcome IN (Read, Loaded, Rejected))
+UNION ALL
+SELECT Export, CASE WHEN Bad THEN 'record' ELSE 'stored' END, Id, count(*)
+FROM exported WHERE Export = 'comments' AND (Bad OR Dated) GROUP BY ALL"""
+
+
 def all_oracles():
     return {
         "prepare_posts": raw(f"SELECT * REPLACE (strftime(CreationDate, {MOMENT}) AS CreationDate) FROM posts"),
@@ -458,4 +472,5 @@ def all_oracles():
         "upsert_by_id": lake(UPSERT),
         "etl_initial": raw("SELECT * FROM first_load"),
         "etl_incremental": raw(second_load()),
+        "etl_rejects": raw(REJECTS),
     }

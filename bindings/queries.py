@@ -299,6 +299,41 @@ def etl_initial(spark, folder):
     return lake_rows(etl_from_csv(spark, folder))
 
 
+def planted_comments(spark, folder, exports):
+    """Comment exports in which every 13th Id, day and quoting is wrong; the odd quotes are in files of their own."""
+    comments = t.raw_comments(spark, folder)
+    texts = comments.select(*[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) if kind == "timestamp"
+                              else F.col(c).cast("string").alias(c) for c, kind in comments.dtypes],
+                            F.pmod("Id", F.lit(13)).alias("kind"))
+    wrong = texts.withColumns({
+        "Id": F.when(F.col("kind") == 0, F.concat(F.lit("x"), "Id")).otherwise(F.col("Id")),
+        "CreationDate": F.when(F.col("kind") == 1, "yesterday").otherwise(F.col("CreationDate"))})
+    write_csv(wrong.where("kind <> 2").drop("kind"), f"{exports}/comments")
+    odd = texts.where("kind = 2").withColumns({"Text": F.lit("plain text"), "Score": F.concat(F.lit('"4"'), "Score", F.lit('"'))})
+    odd.drop("kind").write.options(header=True, quote="\u0000", escape="\u0000").csv(f"{exports}/odd")
+    return [f"{exports}/comments", f"{exports}/odd"]
+
+
+def etl_rejects(spark, folder):
+    """What becomes of exports with records that do not fit: counts per export, each reject's Id, and the stored comments."""
+    exports = new_path(spark, "exports")
+    write_csv(t.raw_posts(spark, folder), f"{exports}/posts")
+    write_csv(t.synonyms(spark), f"{exports}/synonyms")
+    lake = Lake(spark, new_path(spark, "lake"))
+    counts = run_etl(spark, lake, [f"{exports}/posts"], planted_comments(spark, folder, exports),
+                     [f"{exports}/synonyms"], incremental=False, rejects=f"{exports}/rejects", split_from=1 << 16)
+    outcomes = counts.unpivot("Export", ["Read", "Loaded", "Rejected"], "Outcome", "Records").select(
+        "Export", "Outcome", F.lit(None).cast("string").alias("Id"), "Records")
+
+    def each(rows, outcome, id_text):
+        return rows.groupBy(id_text.alias("Id")).agg(F.count("*").alias("Records")).select(
+            F.lit("comments").alias("Export"), F.lit(outcome).alias("Outcome"), "Id", "Records")
+
+    rejected = spark.read.parquet(f"{exports}/rejects/comments")
+    return (outcomes.unionByName(each(rejected, "record", F.substring_index("_corrupt_record", ",", 1)))
+            .unionByName(each(lake.read(schemas.COMMENTS_TABLE), "stored", F.col("Id").cast("string"))))
+
+
 def etl_incremental(spark, folder):
     """A second export changes some posts, moves them to another day and brings new ones."""
     lake = etl_from_csv(spark, folder)
@@ -325,7 +360,7 @@ def all_queries():
         question_answer_info, question_comment_info, tag_scorecard, tag_averages,
         answer_count_buckets, leaderboards, tag_options, tag_overview, freq_itemsets,
         top_itemsets, association_rules, rule_graph_edges, rule_graph_nodes, csv_roundtrip,
-        result_roundtrip, partitioned_write, upsert_by_id, etl_initial, etl_incremental,
+        result_roundtrip, partitioned_write, upsert_by_id, etl_initial, etl_incremental, etl_rejects,
     ]
     return {
         **{query.__name__: query for query in named},

@@ -36,7 +36,7 @@ def main(given: list[str] | None = None) -> None:
     lake = Lake(spark, args.lake)
     if args.job == "load":
         run_etl(spark, lake, args.posts, args.comments, args.synonyms, args.incremental,
-                rejects=args.rejects)
+                rejects=args.rejects).show()
     elif args.job == "preview":
         for name in (schemas.QUESTIONS_TABLE, schemas.ANSWERS_TABLE, schemas.COMMENTS_TABLE):
             lake.preview(name, args.rows)

@@ -257,3 +257,24 @@ def test_load_neither_loses_nor_merges_records_that_do_not_fit(spark, forum, tmp
     assert lake.read("comments").count() == 4
     assert [r._corrupt_record[:2] for r in spark.read.parquet(f"{tmp_path}/rejects/comments").collect()] == ["x3"]
     assert spark.read.parquet(f"{tmp_path}/rejects/posts").isEmpty()
+
+
+def test_load_accounts_for_every_record(spark, forum, tmp_path):
+    for name in ("posts", "comments", "synonyms"):
+        write_csv(getattr(forum, name), f"{tmp_path}/{name}")
+    head = ",".join(forum.comments.columns)
+    bad = ['x3,1,0,text,2020-01-01T00:00:00Z,,5,', '3,1,0,"two\nlines",yesterday,,5,', '3,1,"4"2",text,,,5,']
+    (tmp_path / "bad.csv").write_text("\n".join([head, *bad, ""]))
+    paths = [[f"{tmp_path}/posts"], [f"{tmp_path}/comments", f"{tmp_path}/bad.csv"], [f"{tmp_path}/synonyms"]]
+    lake = Lake(spark, f"{tmp_path}/lake")
+    with pytest.raises(ValueError, match=f"3 of {forum.comments.count() + 3} records of the comments"):
+        run_etl(spark, lake, *paths, incremental=False)
+    assert not lake.exists(schemas.QUESTIONS_TABLE)
+    for split_from in (1, 1 << 30):
+        folder = f"{tmp_path}/rejects{split_from}"
+        got = {r.Export: tuple(r)[1:] for r in run_etl(spark, lake, *paths, False, rejects=folder, split_from=split_from).collect()}
+        assert got == {"posts": (forum.posts.count(), forum.posts.count(), 0),
+                       "comments": (forum.comments.count() + 3, forum.comments.count(), 3),
+                       "synonyms": (forum.synonyms.count(), forum.synonyms.count(), 0)}
+        assert spark.read.parquet(f"{folder}/comments").count() == 3
+        assert lake.read("comments").count() == 4
