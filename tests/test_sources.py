@@ -1,5 +1,6 @@
 """CSV, lake tables and the two jobs."""
 
+from datetime import date, datetime
 from math import inf
 
 import pytest
@@ -95,14 +96,83 @@ def test_tables_may_be_empty(spark, tmp_path):
     assert rows(lake.read("t")) == [(1, "a", "x")]
 
 
-def test_filter_on_the_day_prunes_folders(spark, tmp_path):
+DAYS = [(i, f"v{i}", f"{1 + i % 28:02d}_{1 + i // 28 % 12:02d}_2024") for i in range(600)]
+
+
+def pruned_by(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.split("PartitionFilters: [")[1].split("]")[0], plan
+
+
+def test_days_are_dates_that_prune(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.overwrite(spark.createDataFrame([*DAYS, (9000, "undated", None), (9001, "no day", "x")], TABLE), "t")
+    first, last = date(2024, 1, 27), date(2024, 2, 3)
+    in_range = [r for r in DAYS if first <= datetime.strptime(r[2], "%d_%m_%Y").date() <= last]
+    assert rows(lake.read("t", first, last)) == sorted(in_range, key=repr) and len(in_range) > 8
+    assert len({f.split("tagloom_day=")[1].split("/")[0] for f in lake.read("t", first, last).inputFiles()}) == 5
+    assert lake.read("t").count() == len(DAYS) + 2 and lake.read("t").columns == ["Id", "Value", "PartitionDate"]
+    ranged = lake.read_with_day("t").where(F.col("tagloom_day").between(F.lit(first), F.lit(last)))
+    filters, _ = pruned_by(ranged)
+    assert "tagloom_day" in filters and ranged.count() == len(in_range)
+    # A join to a small table of days prunes too, once its days are known.
+    holidays = spark.createDataFrame([(date(2024, 1, 1), "off"), (date(2024, 5, 1), "off"), (date(2024, 7, 7), "work")],
+                                     "day date, kind string").where("kind = 'off'")
+    joined = lake.read_with_day("t").join(F.broadcast(holidays), F.col("tagloom_day") == F.col("day"))
+    filters, plan = pruned_by(joined)
+    assert "dynamicpruning" in filters
+    assert rows(joined.select("Id")) == sorted([(r[0],) for r in DAYS if r[2][:5] in ("01_01", "01_05")], key=repr)
+
+
+def test_twenty_upserts_leave_one_folder_per_day_and_no_orphan(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    lake.overwrite(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2")], TABLE), "t")
-    lake.upsert(spark.createDataFrame([(3, "c", "d1")], TABLE), "t")
-    day = lake.read("t").where("PartitionDate = 'd1'")
-    assert rows(day) == [(1, "a", "d1"), (3, "c", "d1")]
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "(PartitionDate#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    day = ["01_01_2024", "02_01_2024", "03_01_2024"]
+    expected = {i: (i, "old", day[i % 3]) for i in range(60)}
+    lake.overwrite(spark.createDataFrame(list(expected.values()), TABLE), "t")
+    for n in range(20):
+        new = {i: (i, f"n{n}", day[(i + n) % 3]) for i in (n, 2 * n, 100 + n)}
+        lake.upsert(spark.createDataFrame(list(new.values()), TABLE), "t")
+        expected |= new
+    assert rows(lake.read("t")) == sorted(expected.values(), key=repr)
+    manifest = lake._manifest("t")
+    assert len(manifest.partitions) == 3
+    files = {"/".join(f.split("/")[-3:-1]) for f in lake.read("t").inputFiles()}
+    assert files == {f"tagloom_load={n}/{p}" for p, n in manifest.partitions.items()}
+    before = lake._read_manifest("t", manifest.version - 1)
+    named = {f"tagloom_load={n}/{p}" for m in (manifest, before) for p, n in m.partitions.items()}
+    assert {f"{p.parent.name}/{p.name}" for p in tmp_path.glob("t/data/*/tagloom_day=*")} == named
+    assert sorted(lake._versions("t")) == [20, 21]
+
+
+def test_few_keys_are_found_without_reading_all_row_groups(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    # Ids are scattered over all days, so no day's range excludes any of them.
+    table = spark.range(400_000).select(
+        F.pmod(F.col("id") * 2654435761, F.lit(1 << 32)).alias("Id"), F.lit("v").alias("Value"),
+        F.date_format(F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 200).cast("int")), "dd_MM_yyyy").alias("PartitionDate"))
+    lake.overwrite(table, "t")
+    sample = [r[0] for r in table.where("id % 100000 = 7").select("Id").collect()]
+    stored = lake._files("t", lake._manifest("t"), lake._manifest("t").partitions)
+    keys = spark.createDataFrame([(k,) for k in [*sample, -5]], "Id long")
+    found = lake._matches(stored, "Id", keys)
+    assert sorted(r.Id for r in found.collect()) == sorted(sample)
+    assert scanned_rows(found) < 0.05 * 400_000
+    file = next(f.removeprefix("file://").removeprefix("file:") for f in stored.inputFiles())
+    import pyarrow.parquet as pq
+    ids = pq.read_table(file, columns=["Id"], partitioning=None)["Id"].to_pylist()
+    assert ids == sorted(ids)
+
+
+def scanned_rows(df):
+    """Rows that the scan of an executed frame handed on, after Parquet's filters."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plan = leaves.apply(0)
+    while plan.getClass().getSimpleName() != "FileSourceScanExec":
+        inner = plan.executedPlan() if hasattr(plan, "executedPlan") and "Adaptive" in plan.getClass().getSimpleName() else plan.plan()
+        plan = inner.collectLeaves().apply(0)
+    return plan.metrics().apply("numOutputRows").value()
 
 
 def test_overwrite_from_itself(spark, tmp_path):
@@ -128,12 +198,28 @@ def test_upsert(spark, tmp_path):
     assert (5, "E", "d 4/x") in rows(lake.read("t")) and lake.read("t").count() == 7
 
 
-def test_upsert_rewrites_only_partitions_with_matches(spark, tmp_path):
+def test_upsert_rewrites_only_days_it_changes(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    lake.overwrite(spark.createDataFrame([(1, "a", "d1"), (2, "b", "d2"), (3, "c", "d3")], TABLE), "t")
-    lake.upsert(spark.createDataFrame([(1, "A", "d1"), (9, "z", "d2")], TABLE), "t")
+    day = [f"0{k}_01_2024" for k in range(1, 5)]
+    lake.overwrite(spark.createDataFrame([(k, "a", day[k]) for k in range(4)], TABLE), "t")
+    lake.upsert(spark.createDataFrame([(0, "A", day[0]), (9, "z", day[1])], TABLE), "t")
+    assert lake._manifest("t").partitions == {
+        "tagloom_day=2024-01-01": 2, "tagloom_day=2024-01-02": 2, "tagloom_day=2024-01-03": 1, "tagloom_day=2024-01-04": 1}
+    # A row that moves changes the day it leaves, and the day it comes to.
+    lake.upsert(spark.createDataFrame([(2, "moved", day[3])], TABLE), "t")
     assert lake._manifest("t").partitions == {
-        "PartitionDate=d1": [2], "PartitionDate=d2": [1, 2], "PartitionDate=d3": [1]}
+        "tagloom_day=2024-01-01": 2, "tagloom_day=2024-01-02": 2, "tagloom_day=2024-01-04": 3}
+    assert rows(lake.read("t")) == [(0, "A", day[0]), (1, "a", day[1]), (2, "moved", day[3]), (3, "a", day[3]), (9, "z", day[1])]
+
+
+def test_many_keys_are_found_by_their_range(spark, tmp_path, monkeypatch):
+    from tagloom.sources import lake as module
+    monkeypatch.setattr(module, "SEARCHED_KEYS", 2)
+    lake = Lake(spark, str(tmp_path))
+    lake.overwrite(spark.createDataFrame(DAYS, TABLE), "t")
+    new = [(i, "new", d) for i, _, d in DAYS[100:140:3]] + [(7777, "new", "01_01_2024")]
+    lake.upsert(spark.createDataFrame(new, TABLE), "t")
+    assert rows(lake.read("t")) == sorted({r[0]: r for r in DAYS + new}.values(), key=repr)
 
 
 def test_upsert_creates_a_missing_table_like_overwrite(spark, tmp_path):
