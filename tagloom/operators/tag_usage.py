@@ -5,21 +5,14 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.dates import report_day
 from tagloom.functions.tags import parse_tags
-from tagloom.plans.lookups import lookup_join
+from tagloom.plans.lookups import hot_key_join, lookup_join
 from tagloom.schemas import ANSWER_TYPE, QUESTION_TYPE
 
 
 def _with_parent_tags(children: DataFrame, parent_id: str, parents: DataFrame) -> DataFrame:
-    """Inner join of children to the Id and Tags of their parents.
-
-    The children are freed of NULL keys here, so null-safe equality finds the same pairs as
-    plain equality. It keeps the optimizer from filtering the parents' Ids, and a parent
-    table that the caller also uses as it is stays the same plan, computed once. A parent
-    with very many children is split by the adaptive skew join.
-    """
+    """Inner join of children to the Id and Tags of their parents; a parent with very many children is salted."""
     tagged = parents.select(F.col("Id").alias("__parent"), "Tags")
-    keyed = children.where(F.col(parent_id).isNotNull())
-    return keyed.join(tagged, keyed[parent_id].eqNullSafe(tagged["__parent"]), "inner")
+    return hot_key_join(children, tagged, parent_id, "__parent")
 
 
 def answers_with_question_tags(questions: DataFrame, answers: DataFrame) -> DataFrame:
@@ -30,7 +23,7 @@ def answers_with_question_tags(questions: DataFrame, answers: DataFrame) -> Data
 
 def comments_with_posts_tags(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """(CreationDate, Tags) of every comment, with the tags of its post."""
-    children = comments.select("PostId", "CreationDate")
+    children = comments.select("Id", "PostId", "CreationDate")
     return _with_parent_tags(children, "PostId", posts).select("CreationDate", "Tags")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import prepare, questions, scorecard, tag_usage, trends
 from tagloom.plans import lookups
-from tagloom.plans.lookups import fits_broadcast, lookup_join
+from tagloom.plans.lookups import fits_broadcast, hot_keys, lookup_join
 
 
 @contextlib.contextmanager
@@ -86,16 +86,27 @@ def test_operators_with_dimensions_too_large_to_broadcast(spark, forum, monkeypa
         assert results() == broadcast
 
 
-def test_hot_question_is_split_in_the_tag_join(spark, hot):
+def test_hot_question_is_dealt_over_tasks_in_the_tag_join(spark, hot):
     asked, answers = hot
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1,
-                  spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
-                  spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-                  spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB"):
-        joined = tag_usage.answers_with_question_tags(
-            asked.withColumn("Tags", F.col("Tags")[0]), answers.repartition(8))
-        assert "skew=true" in executed_plan(joined)
-        assert joined.count() == 30000
+    asked = asked.withColumn("Tags", F.col("Tags")[0])
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__skewJoin__enabled="false",
+                  spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions=16):
+        joined = tag_usage.answers_with_question_tags(asked, answers.repartition(8))
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        plain = answers.join(asked.select(F.col("Id").alias("q"), "Tags"), F.col("ParentId") == F.col("q")).select(
+            answers["Id"], answers["CreationDate"], "Tags")
+        assert joined.count() == 30000 and joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    # A third of all answers are to one question, yet no task has more than three times the median.
+    assert len(sizes) == 16 and sizes[-1] <= 3 * sizes[8]
+
+
+def test_hot_keys_are_few_and_complete(spark, hot):
+    _, answers = hot
+    assert [r.hot for r in hot_keys(answers, "ParentId").collect()] == [0]
+    assert hot_keys(answers.where("ParentId IS NULL"), "ParentId").collect() == []
+    assert hot_keys(answers.limit(0), "ParentId").collect() == []
+    text = answers.select(F.concat(F.lit("k"), F.col("Id") % 7).alias("k"))
+    assert sorted(r.hot for r in hot_keys(text, "k").collect()) == [f"k{i}" for i in range(7)]
 
 
 def test_children_are_reduced_before_they_meet_questions(spark, hot):
@@ -132,8 +143,8 @@ def test_daily_usage_computes_each_part_once(spark, forum, tmp_path):
     posts, comments = spark.read.parquet(f"{tmp_path}/posts"), spark.read.parquet(f"{tmp_path}/comments")
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
         plan = executed_plan(tag_usage.tag_usage_per_day(posts, comments, forum.synonyms, forum.tags))
-    # Questions, answers and comments are read once each, without bodies.
-    assert plan.count("FileScan") == 3 and "Body" not in plan
+    # Questions, answers and comments are read once each, without bodies; one more scan looks for hot posts in one column.
+    assert plan.count("FileScan") == 4 and "Body" not in plan and plan.count("ReadSchema: struct<PostId:bigint>") == 1
     assert plan.count("ReusedExchange") >= 2
 
 
