@@ -7,6 +7,7 @@ from tagloom.functions.dates import partition_day
 from tagloom.functions.sentiment import Scorer, lexicon_sentiment
 from tagloom.functions.tags import parse_tags
 from tagloom.functions.text import strip_markup, word_count
+from tagloom.operators.dedup import drop_repeated_rows
 from tagloom.operators.tag_usage import replace_tag_synonyms
 from tagloom.schemas import ANSWER_TYPE, PARTITION_COLUMN, QUESTION_TYPE
 
@@ -31,11 +32,10 @@ def prepare_posts(posts: DataFrame, separator: str = "") -> DataFrame:
 
     A row with an owner is not empty, so the owner filter covers all-NULL rows too. It
     comes first, so that ownerless posts are never shuffled. Rows are compared on every
-    column; the map-side half of that comparison folds copies before the shuffle.
+    column; only those that may have a copy are moved for it.
     """
     return (
-        posts.where(F.col("OwnerUserId").isNotNull())
-        .dropDuplicates()
+        drop_repeated_rows(posts.where(F.col("OwnerUserId").isNotNull()))
         .select("Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "OwnerUserId", "Score",
                 "ViewCount", "Title", strip_markup("Body", separator).alias("Body"), "Tags",
                 "CreationDate", "ClosedDate")
