@@ -372,6 +372,21 @@ SELECT Id, PostId, Score, WordsCount, Sentiment, PartitionDate FROM comments
 WHERE Id NOT IN (SELECT Id FROM new_rows)"""
 
 
+WEIGHTED = """WITH tokens AS (
+    SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents),
+learnt AS (SELECT doc_id, 1 - toxic AS label FROM labels WHERE md5(CAST(doc_id AS VARCHAR)) >= '4'),
+counted AS (
+    SELECT token, sum(label) AS positive, sum(1 - label) AS negative FROM tokens JOIN learnt USING (doc_id)
+    WHERE token <> '' GROUP BY token HAVING count(*) >= 5),
+totals AS (SELECT sum(positive) + count(*) AS of_positive, sum(negative) + count(*) AS of_negative FROM counted),
+weights AS (
+    SELECT token, (ln(positive + 1) - ln(of_positive)) - (ln(negative + 1) - ln(of_negative)) AS weight FROM counted, totals),
+prior AS (SELECT ln(sum(label) + 1) - ln(sum(1 - label) + 1) AS weight FROM learnt JOIN documents USING (doc_id)),
+scores AS (
+    SELECT doc_id, CASE WHEN text IS NOT NULL THEN prior.weight + coalesce(added, 0) END AS score
+    FROM documents CROSS JOIN prior
+    LEFT JOIN (SELECT doc_id, sum(weight) AS added FROM tokens JOIN weights USING (token) GROUP BY doc_id) USING (doc_id))"""
+
 REJECTS = """, exported AS (
     SELECT 'posts' AS Export, NULL AS Id, false AS Bad, true AS Dated FROM raw_posts
     UNION ALL SELECT 'synonyms', NULL, false, true FROM synonyms
@@ -415,8 +430,9 @@ def all_oracles():
         "comment_sentiment": "SELECT doc_id, " + sentiment(
             "text", ("the", "of", "and", "best"), ("de", "der", "idiot", "stupid", "worthless"))
         + " AS Sentiment FROM documents",
-        "sentiment_by_model": "SELECT doc_id, CAST(len(string_split(text, '!')) > len(string_split(text, '?')) "
-                              "AS INTEGER) AS Sentiment FROM documents",
+        "sentiment_by_model": f"{WEIGHTED} SELECT doc_id, CAST(score > 0 AS INTEGER) AS Sentiment FROM scores",
+        "sentiment_by_weights": f"{WEIGHTED} SELECT doc_id, md5(CAST(doc_id AS VARCHAR)) < '4' AS HeldOut, "
+                                "round(score, 4) AS Score, CAST(score > 0 AS INTEGER) AS Sentiment FROM scores",
         "partition_date_parse": lake(
             f"SELECT Id, PartitionDate, strftime(date_trunc('day', CreationDate), {MOMENT}) AS Day FROM questions"),
         "table_preview": lake(

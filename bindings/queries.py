@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from bindings import tables as t
 from tagloom import schemas
 from tagloom.functions.dates import parse_partition_day
-from tagloom.functions.sentiment import classify, fit_classifier, lexicon_sentiment, model_sentiment
+from tagloom.functions.sentiment import classify, fit_classifier, lexicon_sentiment
 from tagloom.functions.tags import tag_label
 from tagloom.functions.text import strip_markup, word_count
-from tagloom.operators import mining, prepare, profile, questions, report, scorecard, tag_usage, trends
+from tagloom.operators import (
+    mining, prepare, profile, questions, report, scorecard, sentiment_weights, tag_usage, trends)
 from tagloom.plans.analysis import RESULTS
 from tagloom.plans.etl import load_lake, run_etl
 from tagloom.sources.csv import read_csv, write_csv
@@ -115,12 +116,26 @@ def comment_sentiment(spark, folder):
     return t.given(spark, folder, "documents").select("doc_id", score(F.col("text")).alias("Sentiment"))
 
 
-def sentiment_by_model(spark, folder):
-    def load_model():
-        """Stand-in for a caller's model: more exclamation marks than question marks."""
-        return lambda texts: [int(text.count("!") > text.count("?")) for text in texts]
+def held_out(key):
+    """A fixed quarter of the ids, by hash."""
+    return F.md5(F.col(key).cast("string")) < "4"
+
+
+def fitted_weights(spark, folder):
+    """Civil documents count as positive; held-out ones are not learnt from."""
+    labelled = t.given(spark, folder, "documents").join(
+        t.given(spark, folder, "labels").where(~held_out("doc_id")), "doc_id")
+    return sentiment_weights.fit_weights(labelled.select("text", (1 - F.col("toxic")).alias("Label")), text="text")
+
 
-    score = model_sentiment(load_model)
+def sentiment_by_weights(spark, folder):
+    scored = sentiment_weights.score_by_weights(
+        t.given(spark, folder, "documents"), fitted_weights(spark, folder), "doc_id", "text")
+    return scored.select("doc_id", held_out("doc_id").alias("HeldOut"), F.round("Score", 4).alias("Score"), "Sentiment")
+
+
+def sentiment_by_model(spark, folder):
+    score = sentiment_weights.shipped_sentiment(sentiment_weights.ship_weights(fitted_weights(spark, folder)))
     return t.given(spark, folder, "documents").select("doc_id", score(F.col("text")).alias("Sentiment"))
 
 
@@ -355,7 +370,7 @@ def all_queries():
         prepare_posts, questions_from_posts, answers_from_posts, prepare_comments, strip_html,
         explode_tags, tag_synonyms, answers_with_question_tags, comments_with_posts_tags,
         day_tag_counts, tag_usage_per_day, data_profile, describe_posts, summarize_posts,
-        comment_sentiment, sentiment_by_model, sentiment_by_classifier, partition_date_parse,
+        comment_sentiment, sentiment_by_model, sentiment_by_weights, sentiment_by_classifier, partition_date_parse,
         table_preview, general_info, top_tags_per_day, tag_frequency_series,
         question_answer_info, question_comment_info, tag_scorecard, tag_averages,
         answer_count_buckets, leaderboards, tag_options, tag_overview, freq_itemsets,
