@@ -1,5 +1,6 @@
 """The registered queries in SQL, over the same given tables."""
 
+from tagloom import schemas
 from tagloom.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
 from tagloom.operators.report import LEADERBOARD_METRICS
 
@@ -372,6 +373,43 @@ SELECT Id, PostId, Score, WordsCount, Sentiment, PartitionDate FROM comments
 WHERE Id NOT IN (SELECT Id FROM new_rows)"""
 
 
+# Columns of the raw exports with their types; those that no given table fills are empty.
+RAW_COLUMNS = {
+    ("posts", "raw_posts"): (schemas.POSTS, {"Id", "PostTypeId", "AcceptedAnswerId", "ParentId", "CreationDate", "Score",
+                                             "ViewCount", "Body", "OwnerUserId", "Title", "Tags"}),
+    ("comments", "(SELECT *, CASE WHEN Id >= 1000000000 THEN (Id - 1000000000) // 8 END AS UserId FROM raw_comments)"): (
+        schemas.COMMENTS, {"Id", "PostId", "Score", "Text", "CreationDate", "UserId"}),
+    ("synonyms", "synonyms"): (schemas.TAG_SYNONYMS, {"SourceTagName", "TargetTagName"}),
+}
+
+
+def profile_of(name, view, column, kind, filled):
+    value = column if filled else "CAST(NULL AS BIGINT)"
+    numeric, moment = kind in ("BIGINT", "INT"), kind == "TIMESTAMP"
+
+    def shown(expression):
+        return f"strftime({expression}, {MOMENT})" if moment and filled else f"CAST({expression} AS VARCHAR)"
+
+    quartiles = (f"array_to_string([{', '.join(shown(f'quantile_disc({value}, {q})') for q in (0.25, 0.5, 0.75))}], ',')"
+                 if numeric or moment else "''")
+    return (f"SELECT '{name}' AS \"Table\", '{column}' AS \"Column\", '{kind.lower()}' AS Type, count({value}) AS Count, "
+            + (f"round(avg({value}), 6) AS Mean, round(stddev_samp({value}), 6) AS Stddev, " if numeric
+               else "CAST(NULL AS DOUBLE) AS Mean, CAST(NULL AS DOUBLE) AS Stddev, ")
+            + f"{shown(f'min({value})')} AS Min, {shown(f'max({value})')} AS Max, coalesce({quartiles}, '') AS Quantiles FROM {view}")
+
+
+PROFILE = " UNION ALL ".join(
+    profile_of(name, view, *field.split(), field.split()[0] in filled)
+    for (name, view), (schema, filled) in RAW_COLUMNS.items() for field in schema.split(","))
+
+PREVIEWS = f"""
+SELECT * FROM (SELECT 'answers' AS TableName, Id, ParentId AS OnPost, OwnerUserId, Score, WordsCount,
+                      strftime(CreationDate, {MOMENT}) AS CreationDate, CAST(NULL AS INTEGER) AS Sentiment, PartitionDate
+               FROM answers ORDER BY Id LIMIT 100)
+UNION ALL
+SELECT * FROM (SELECT 'comments', Id, PostId, CAST(NULL AS BIGINT), Score, WordsCount, CAST(NULL AS VARCHAR), Sentiment, PartitionDate
+               FROM comments ORDER BY Id LIMIT 100)"""
+
 WEIGHTED = """WITH tokens AS (
     SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS token FROM documents),
 learnt AS (SELECT doc_id, 1 - toxic AS label FROM labels WHERE md5(CAST(doc_id AS VARCHAR)) >= '4'),
@@ -425,6 +463,8 @@ def all_oracles():
             "SELECT strftime(CreationDate, '%Y-%m-%d') AS Date, t.Id AS TagId, m.Tag, count(*) AS Count "
             "FROM moment_tags m JOIN tags t ON m.Tag = t.TagName GROUP BY ALL"),
         "data_profile": raw(raw_counts()),
+        "profile_raw_tables": raw(PROFILE),
+        "table_previews": lake(PREVIEWS),
         "describe_posts": lake(DESCRIBE),
         "summarize_posts": lake(SUMMARIZE),
         "comment_sentiment": "SELECT doc_id, " + sentiment(

@@ -108,6 +108,22 @@ def summarize_posts(spark, folder):
     return summary.select("summary", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in names])
 
 
+def profile_raw_tables(spark, folder):
+    return comparable(profile.profile_tables(
+        posts=t.raw_posts(spark, folder), comments=t.raw_comments(spark, folder), synonyms=t.synonyms(spark)))
+
+
+def table_previews(spark, folder):
+    """The first rows of the answers and the comments, by Id, in one shape."""
+    answers = t.lake_answers(spark, folder).orderBy("Id").limit(100)
+    comments = t.lake_comments(spark, folder).orderBy("Id").limit(100)
+    columns = ["Id", F.col("ParentId").alias("OnPost"), "OwnerUserId", "Score", "WordsCount", "CreationDate", "Sentiment", "PartitionDate"]
+    no = {"answers": {"Sentiment": F.lit(None).cast("int")},
+          "comments": {"ParentId": F.col("PostId"), "OwnerUserId": F.lit(None).cast("bigint"), "CreationDate": F.lit(None).cast("timestamp")}}
+    return comparable(answers.withColumns(no["answers"]).select(F.lit("answers").alias("TableName"), *columns).unionByName(
+        comments.withColumns(no["comments"]).select(F.lit("comments").alias("TableName"), *columns)))
+
+
 # --- sentiment -------------------------------------------------------------------------------
 
 def comment_sentiment(spark, folder):
@@ -369,9 +385,9 @@ def all_queries():
     named = [
         prepare_posts, questions_from_posts, answers_from_posts, prepare_comments, strip_html,
         explode_tags, tag_synonyms, answers_with_question_tags, comments_with_posts_tags,
-        day_tag_counts, tag_usage_per_day, data_profile, describe_posts, summarize_posts,
+        day_tag_counts, tag_usage_per_day, data_profile, describe_posts, summarize_posts, profile_raw_tables,
         comment_sentiment, sentiment_by_model, sentiment_by_weights, sentiment_by_classifier, partition_date_parse,
-        table_preview, general_info, top_tags_per_day, tag_frequency_series,
+        table_preview, table_previews, general_info, top_tags_per_day, tag_frequency_series,
         question_answer_info, question_comment_info, tag_scorecard, tag_averages,
         answer_count_buckets, leaderboards, tag_options, tag_overview, freq_itemsets,
         top_itemsets, association_rules, rule_graph_edges, rule_graph_nodes, csv_roundtrip,

@@ -14,18 +14,31 @@ from tagloom.functions.tags import tag_label
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.1
 TOP_ITEMSETS = 16
+PREFIX_ITEMS_PER_GROUP = 2_000_000
+"""Tags that a group of items receives in the prefixes of baskets; decides the number of groups."""
+
+
+def item_groups(questions: DataFrame, per_group: int = PREFIX_ITEMS_PER_GROUP) -> int:
+    """Groups of items to mine in, from the data: mining sends each group the prefixes of the baskets with its items.
+
+    A basket of w tags sends prefixes of at most w (w + 1) / 2 tags; no basket is sent to more groups than it has
+    tags, and there are never more groups than distinct tags. Small tables still get a group per task of the session.
+    """
+    width = F.size("Tags").cast("bigint")
+    seen = questions.where(F.col("Tags").isNotNull()).agg(
+        F.coalesce(F.sum(width * (width + 1) / 2), F.lit(0)).alias("prefixes"), F.coalesce(F.sum(width), F.lit(0)).alias("tags")).first()
+    parallel = questions.sparkSession.sparkContext.defaultParallelism
+    return int(max(1, min(seen["tags"], max(parallel, -(-int(seen["prefixes"]) // per_group)))))
 
 
 def frequent_itemsets(questions: DataFrame, min_support: float = MIN_SUPPORT,
                       max_items: int | None = None, partitions: int | None = None) -> DataFrame:
     """(items, freq): sorted tag sets and the number of questions that have all of them.
 
-    ``partitions`` spreads the mining over that many tasks; ``max_items`` leaves out
-    larger sets.
+    ``partitions`` spreads the mining over that many tasks, by default as many as ``item_groups``
+    finds the data to need, however few files they come in; ``max_items`` leaves out larger sets.
     """
-    miner = FPGrowth(itemsCol="Tags", minSupport=min_support)
-    if partitions:
-        miner = miner.setNumPartitions(partitions)
+    miner = FPGrowth(itemsCol="Tags", minSupport=min_support).setNumPartitions(partitions or item_groups(questions))
     mined = miner.fit(questions.select("Tags")).freqItemsets
     itemsets = mined.select(F.sort_array("items").alias("items"), "freq")
     return itemsets if max_items is None else itemsets.where(F.size("items") <= max_items)
