@@ -40,6 +40,11 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None):
         writer.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever it is stored."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
