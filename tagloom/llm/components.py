@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import stored
+from tagloom.llm.shared import release, stored
 
 
 def _towards_least(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
                    .where("u <> v").distinct(), "links")
     seen = _fingerprint(edges)
     while True:
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        before, edges = edges, stored(_small_star(_large_star(edges)), "stars")
+        release(before)
         now = _fingerprint(edges)
         if now == seen:
             return edges

@@ -56,9 +56,10 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
-def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    name = options.get("id_column", "doc_id")
-    gone = (exact_groups(docs, **options).where("NOT kept")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[name].eqNullSafe(gone["__gone"]), "left_anti")
+def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of an id with several texts only the copies go."""
+    digest = options.get("digest", digest_of)
+    gone = (exact_groups(docs, id_column, text_column, **options).where("NOT kept")
+            .select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__digest")).distinct())
+    same = docs[id_column].eqNullSafe(gone["__gone"]) & (digest(normalised(docs[text_column])) == gone["__digest"])
+    return docs.join(gone, same, "left_anti")

@@ -4,9 +4,13 @@ Each document is a set of word shingles, sketched by ``TOKENS`` minwise tokens.
 sets are first reduced to one. Then, in each of several independent trees, documents branch by the
 tokens at the positions that their node has chosen, so similar documents keep meeting while others
 part. A node of at most ``NODE_LIMIT`` documents is compared exhaustively; a larger one branches again,
-and its documents are also compared with one pivot. Nodes that are still large at the last level are
-settled afterwards: if their documents are not yet in one component, all pairs across components are
-compared, block by block. Every candidate that the sketches cannot rule out is confirmed on full sets.
+and its documents are also compared with one pivot. Every candidate that the sketches cannot rule out is confirmed
+on full sets.
+
+After each level the links found so far are turned into components, and documents carry theirs along: a node of one
+component has nothing left to find and ends, and later levels only compare across components. So a group of
+thousands of near copies is found once, around one pivot, and not again in every tree and level. Nodes that are still
+large and of several components at the last level are compared block by block, each minor component with all others.
 
 Two documents of similarity 0.8 meet below a root position with probability 0.8, and there are
 ``2 * TREES`` of them, so a pair that parts from the crowd at once is missed once in 10 million times.
@@ -21,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
-from tagloom.llm.shared import NO_ID, stored, text_or_empty
+from tagloom.llm.shared import NO_ID, release, stored, text_or_empty
+from tagloom.plans.lookups import hot_key_join
 
 SHINGLE = 5
 PERCENT = 80
@@ -111,15 +116,19 @@ def _least_alike(percent: int) -> float:
 
 
 def _candidates(docs: np.ndarray, labels: np.ndarray, sizes: np.ndarray, marks: np.ndarray,
-                percent: int) -> list[tuple[int, int]]:
-    """Index pairs of a node that may be linked, without those that likelier links make needless."""
+                percent: int, thin: bool) -> list[tuple[int, int, bool]]:
+    """Index pairs of a node that may be linked, and whether they surely are.
+
+    With ``thin``, pairs that surer ones make needless are left out; should one of the sure pairs turn out not to be linked, the
+    node is to be compared again without.
+    """
     alike = (marks[:, None, :] == marks[None, :, :]).mean(axis=2) if len(docs) < 33 else np.stack(
         [(marks == row).mean(axis=1) for row in marks])
     fits = 100 * np.minimum.outer(sizes, sizes) >= percent * np.maximum.outer(sizes, sizes)
     wanted = np.triu((alike >= _least_alike(percent)) & fits, 1) & (labels[:, None] != labels[None, :])
     left, right = np.nonzero(wanted)
-    if len(left) < 2:
-        return list(zip(left.tolist(), right.tolist(), strict=True))
+    if len(left) < 2 or not thin:
+        return [(i, j, False) for i, j in zip(left.tolist(), right.tolist(), strict=True)]
     order = np.argsort(-alike[left, right], kind="stable")
     root = list(range(len(docs)))
 
@@ -132,13 +141,14 @@ def _candidates(docs: np.ndarray, labels: np.ndarray, sizes: np.ndarray, marks:
     for i, j in zip(left[order].tolist(), right[order].tolist(), strict=True):
         a, b = find(i), find(j)
         if a != b:
-            kept.append((i, j))
-            if alike[i, j] >= SURE:
+            sure = bool(alike[i, j] >= SURE)
+            kept.append((i, j, sure))
+            if sure:
                 root[a] = b
     return kept
 
 
-def _compare_nodes(percent: int):
+def _compare_nodes(percent: int, thin: bool):
     """Candidates of each node; rows come sorted by node, and a node fits into memory."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -157,16 +167,16 @@ def _compare_nodes(percent: int):
         nodes, docs, labels, sizes = (rows.column(c).to_numpy() for c in ("node", "rep", "label", "n_shingles"))
         marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, TOKENS)
         edges = [0, *(np.flatnonzero(np.diff(nodes)) + 1).tolist(), len(nodes)]
-        left, right = [], []
+        found = []
         for start, end in zip(edges, edges[1:]):
             if end - start > 1:
-                for i, j in _candidates(docs[start:end], labels[start:end], sizes[start:end],
-                                        marks[start:end], percent):
-                    left.append(docs[start + i])
-                    right.append(docs[start + j])
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())],
-                                             names=["u", "v"])
+                found += [(docs[start + i], docs[start + j], nodes[start], sure) for i, j, sure in _candidates(
+                    docs[start:end], labels[start:end], sizes[start:end], marks[start:end], percent, thin)]
+        if found:
+            left, right, at, sure = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(at, pa.int64()), pa.array(sure, pa.bool_())],
+                names=["u", "v", "node", "sure"])
     return compare
 
 
@@ -196,79 +206,138 @@ def _branch(rows: DataFrame, branches: int) -> DataFrame:
     return rows.select("rep", F.explode(F.array_distinct(chosen)).alias("node"))
 
 
-def _candidate_pairs(reps: DataFrame, percent: int, trees: int, levels: int,
-                     limit: int) -> tuple[DataFrame, DataFrame]:
-    """Candidates of all trees, and the rows (node, rep, n) of nodes that stayed large."""
-    roots = F.array(*[
-        F.xxhash64(F.lit(r), _token(F.lit(r))) for r in range(2 * trees)])
-    rows = stored(reps.select("rep", F.explode(roots).alias("node")), "tree-0")
-    marks = reps.select("rep", "n_shingles", "marks")
-    pivot_marks = marks.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("pivot_size"),
-                               F.col("marks").alias("marks_u"))
-    small, stars, large = [], [], None
-    for level in range(1, levels + 1):
-        sizes = rows.groupBy("node").agg(
-            F.count("*").alias("n"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot"))
-        grouped = stored(rows.join(sizes.where("n > 1"), "node"), f"tree-{level}-nodes")
-        small.append(grouped.where(F.col("n") <= limit).select("node", "rep"))
-        large = grouped.where(F.col("n") > limit)
-        if large.isEmpty():
-            break
-        pivots = large.select("pivot").distinct().join(pivot_marks, "pivot")
-        sized = large.where("rep <> pivot").join(marks, "rep").join(pivots, "pivot").where(
-            100 * F.least("n_shingles", "pivot_size") >= percent * F.greatest("n_shingles", "pivot_size"))
-        stars.append(_alike(sized.select(F.col("pivot").alias("u"), F.col("rep").alias("v"), "marks_u",
-                                         F.col("marks").alias("marks_v")), percent))
-        if level < levels:
-            tokens = reps.select("rep", "tokens")
-            rows = stored(_branch(large.select("node", "rep").join(tokens, "rep"),
-                                  2 if level == 1 else 1), f"tree-{level}")
-    nodes = small[0]
-    for more in small[1:]:
-        nodes = nodes.unionByName(more)
-    nodes = nodes.join(marks, "rep").withColumn("label", F.col("rep"))
-    pairs = _compare(nodes, percent)
-    for more in stars:
-        pairs = pairs.unionByName(more)
-    return pairs, large.select("node", "rep", "n")
-
-
-def _compare(nodes: DataFrame, percent: int) -> DataFrame:
+def _compare(nodes: DataFrame, percent: int, thin: bool = True) -> DataFrame:
+    """Candidates (u, v, node, sure) of nodes that fit into memory: rows of node, rep, label, n_shingles and marks."""
     rows = (nodes.select("node", "rep", "label", "n_shingles", "marks").repartition("node")
             .sortWithinPartitions("node", "rep"))
-    return rows.mapInArrow(_compare_nodes(percent), "u bigint, v bigint")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs whose full sets are similar enough: u, v."""
-    pairs = stored(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-                   .where("u <> v").distinct(), "near-candidates")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
-    sets = stored(texts.join(wanted, "doc", "left_semi").select("doc", "text")
-                  .mapInArrow(_shingle_sets(width), "doc bigint, shingles array<bigint>"), "near-sets")
-    one = sets.select(F.col("doc").alias("u"), F.col("shingles").alias("set_u"))
-    two = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("set_v"))
-    shared = F.size(F.array_intersect("set_u", "set_v"))
-    return (pairs.join(one, "u").join(two, "v")
-            .select("u", "v", shared.alias("shared"), (F.size("set_u") + F.size("set_v")).alias("both"))
-            .where(100 * F.col("shared") >= percent * (F.col("both") - F.col("shared")))
-            .select("u", "v"))
-
-
-def _unsettled(large: DataFrame, labels: DataFrame, marks: DataFrame, limit: int) -> DataFrame:
-    """Large nodes of several components, cut into pairs of blocks of about ``limit`` documents."""
-    labelled = (large.join(labels, F.col("rep") == F.col("u"), "left")
-                .select("node", "rep", "n", F.coalesce("v", "rep").alias("label")))
-    open_nodes = (labelled.groupBy("node").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-                  .where("a <> b").select("node"))
-    blocks = F.ceil(F.col("n") / F.lit(limit)).cast("int")
-    block = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    with_other = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.xxhash64(
-        "node", F.least(other, block), F.greatest(other, block)))
-    return (labelled.join(open_nodes, "node").select(F.explode(with_other).alias("node"), "rep", "label")
+    return rows.mapInArrow(_compare_nodes(percent, thin), "u bigint, v bigint, node bigint, sure boolean")
+
+
+def _with_labels(rows: DataFrame, stars: DataFrame | None) -> DataFrame:
+    """Adds the component of each ``rep``; one without links is its own."""
+    if stars is None:
+        return rows.withColumn("label", F.col("rep"))
+    known = stars.select(F.col("u").alias("__rep"), F.col("v").alias("__label"))
+    return (rows.join(known, F.col("rep") == F.col("__rep"), "left")
+            .withColumn("label", F.coalesce("__label", "rep")).drop("__rep", "__label"))
+
+
+def _star_candidates(large: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each document of a large node with the node's pivot, where their components differ."""
+    pivots = (large.groupBy("node").agg(F.first("pivot").alias("rep"), F.min("pivot_label").alias("pivot_label"))
+              .join(marks, "rep").select(F.col("node").alias("of_node"), F.col("rep").alias("pivot"), "pivot_label",
+                                         F.col("n_shingles").alias("pivot_size"), F.col("marks").alias("marks_u")))
+    others = large.where("label <> pivot_label").select("node", "rep").join(marks, "rep")
+    sized = hot_key_join(others, pivots, "node", "of_node").where(
+        100 * F.least("n_shingles", "pivot_size") >= percent * F.greatest("n_shingles", "pivot_size"))
+    return _alike(sized.select(F.col("pivot").alias("u"), F.col("rep").alias("v"), "marks_u",
+                               F.col("marks").alias("marks_v")), percent)
+
+
+class _Links:
+    """Confirmed links so far, and the components that they make."""
+
+    def __init__(self, texts: DataFrame, percent: int, width: int):
+        self.texts, self.percent, self.width = texts, percent, width
+        self.edges: DataFrame | None = None  # stars: one edge per document that is not the least of its component
+
+    def add(self, candidates: DataFrame) -> DataFrame:
+        """Confirm candidates on full sets and join the components they link; returns the pairs that were confirmed."""
+        pairs = stored(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+                       .where("u <> v").distinct(), "near-candidates")
+        if pairs.isEmpty():
+            return pairs
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
+        sets = stored(self.texts.join(wanted, "doc", "left_semi").select("doc", "text")
+                      .mapInArrow(_shingle_sets(self.width), "doc bigint, shingles array<bigint>"), "near-sets")
+        confirmed = stored(self._similar(pairs, sets), "near-links")
+        release(pairs, sets)
+        before = self.edges
+        if not confirmed.isEmpty():
+            self.edges = components(confirmed if before is None else confirmed.unionByName(before))
+            release(before)
+        return confirmed
+
+    def _similar(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """A pivot is in very many pairs, so the pairs are dealt anew for each side."""
+        one = sets.select(F.col("doc").alias("du"), F.col("shingles").alias("set_u"))
+        two = sets.select(F.col("doc").alias("dv"), F.col("shingles").alias("set_v"))
+        shared = F.size(F.array_intersect("set_u", "set_v"))
+        both = hot_key_join(pairs, two, "v", "dv").select("u", "v", "set_v")
+        return (hot_key_join(both, one, "u", "du")
+                .select("u", "v", shared.alias("shared"), (F.size("set_u") + F.size("set_v")).alias("both"))
+                .where(100 * F.col("shared") >= self.percent * (F.col("both") - F.col("shared")))
+                .select("u", "v"))
+
+
+def _level(rows: DataFrame, marks: DataFrame, links: _Links, limit: int) -> DataFrame | None:
+    """Compare the nodes of a level; returns the rows (node, rep) of its large nodes, NULL if there are none."""
+    nodes = rows.groupBy("node").agg(
+        F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"),
+        F.min_by(F.struct("rep", "label"), F.xxhash64("rep")).alias("p")).where("n > 1 AND a <> b").select(
+            F.col("node").alias("of_node"), "n", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
+    grouped = stored(hot_key_join(rows, nodes, "node", "of_node").drop("of_node"), "tree-nodes")
+    small = grouped.where(F.col("n") <= limit).join(marks, "rep")
+    large = grouped.where(F.col("n") > limit)
+    some_large = not large.isEmpty()
+    found = _compare(small, links.percent)
+    if some_large:
+        stars = _star_candidates(large, marks, links.percent)
+        found = found.unionByName(stars.withColumns({"node": F.lit(None).cast("bigint"), "sure": F.lit(False)}))
+    found = stored(found, "tree-candidates")
+    confirmed = links.add(found)
+    ordered = found.where("sure").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "node")
+    again = ordered.join(confirmed, ["u", "v"], "left_anti").select("node").distinct()
+    if not again.isEmpty():
+        # A sure pair was not linked after all, so pairs left out for its sake have to be tried.
+        open_nodes = _with_labels(small.drop("label").join(again, "node", "left_semi"), links.edges)
+        retried = stored(_compare(open_nodes, links.percent, thin=False), "tree-candidates")
+        release(links.add(retried), retried)
+    kept = stored(large.select("node", "rep"), "tree-large") if some_large else None
+    release(grouped, found, confirmed)
+    return kept
+
+
+def _remaining(large: DataFrame, links: _Links, marks: DataFrame, limit: int) -> DataFrame:
+    """Open large nodes in cells of two blocks, so that documents outside the main component of a node meet all others."""
+    labelled = stored(_with_labels(large, links.edges), "tree-labelled")
+    counts = labelled.groupBy("node", "label").agg(F.count("*").alias("n"))
+    mains = (counts.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"))
+             .where("main.n < n").select(F.col("node").alias("of_node"), F.col("main.label").alias("main"),
+                                         F.col("main.n").alias("in_main"), (F.col("n") - F.col("main.n")).alias("in_rest")))
+    half = F.lit(max(1, limit // 2))
+    main_blocks, rest_blocks = (F.ceil(F.col(c) / half).cast("int") for c in ("in_main", "in_rest"))
+    is_main = F.col("label") == F.col("main")
+    own = F.pmod(F.xxhash64("rep"), F.when(is_main, main_blocks).otherwise(rest_blocks)).cast("int")
+
+    def cells(blocks: Column, key) -> Column:
+        return F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.xxhash64("node", *key(other)))
+
+    with_rest = cells(rest_blocks, lambda other: (F.lit("rest"), F.least(other, own), F.greatest(other, own)))
+    with_main = cells(main_blocks, lambda other: (F.lit("main"), own, other))
+    to_rest = cells(rest_blocks, lambda other: (F.lit("main"), other, own))
+    met = F.when(is_main, to_rest).otherwise(F.concat(with_rest, with_main))
+    return (hot_key_join(labelled, mains, "node", "of_node").select(F.explode(met).alias("node"), "rep", "label")
             .join(marks, "rep"))
 
 
+def _linked(reps: DataFrame, links: _Links, trees: int, levels: int, limit: int) -> None:
+    """Search all trees, level by level; the links found are in ``links``."""
+    marks, tokens = reps.select("rep", "n_shingles", "marks"), reps.select("rep", "tokens")
+    roots = F.array(*[F.xxhash64(F.lit(r), _token(F.lit(r))) for r in range(2 * trees)])
+    rows = stored(reps.select("rep", F.explode(roots).alias("node"), F.col("rep").alias("label")), "tree")
+    for level in range(1, levels + 1):
+        large = _level(rows, marks, links, limit)
+        release(rows)
+        if large is None:
+            return
+        if level < levels:
+            rows = stored(_with_labels(_branch(large.join(tokens, "rep"), 2 if level == 1 else 1), links.edges), "tree")
+            release(large)
+    retried = stored(_compare(_remaining(large, links, marks, limit), links.percent, thin=False), "tree-candidates")
+    release(links.add(retried), retried, large)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
                     levels: int = LEVELS, node_limit: int = NODE_LIMIT, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
@@ -282,6 +351,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
       possible one and is reported as NULL. An empty table gives an empty result, and other
       columns are ignored.
     """
+    found = _classified(docs, shingle, percent, trees, levels, node_limit, id_column, text_column)
+    return found.select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_shingles",
+                        F.nullif("component", F.lit(NO_ID)).alias("component_id"),
+                        (F.col("doc") == F.col("component")).alias("kept"))
+
+
+def _classified(docs: DataFrame, shingle: int, percent: int, trees: int, levels: int, node_limit: int, id_column: str,
+                text_column: str) -> DataFrame:
+    """doc, n_shingles, digest (of the set, NULL without shingles) and component of each row."""
     texts = docs.select(F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
                         text_or_empty(text_column).alias("text"))
     sketches = stored(texts.mapInArrow(
@@ -289,25 +367,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "near-sketches")
     reps = stored(sketches.where("digest IS NOT NULL").groupBy("digest", "n_shingles", "tokens", "marks")
                   .agg(F.min("doc").alias("rep")), "near-reps")
-    pairs, large = _candidate_pairs(reps, percent, trees, levels, node_limit)
-    links = stored(_confirmed(pairs, texts, percent, shingle), "near-links")
-    stars = components(links)
-    if not large.isEmpty():
-        rest = _unsettled(large, stars, reps.select("rep", "n_shingles", "marks"), node_limit)
-        more = _confirmed(_compare(rest, percent), texts, percent, shingle)
-        stars = components(links.unionByName(more))
-
-    classes = (reps.join(stars, F.col("rep") == F.col("u"), "left")
-               .select("digest", F.coalesce("v", "rep").alias("component")))
+    links = _Links(texts, percent, shingle)
+    _linked(reps, links, trees, levels, node_limit)
+    classes = _with_labels(reps, links.edges).select("digest", F.col("label").alias("component"))
     return (sketches.select("doc", "n_shingles", "digest").join(classes, "digest", "left")
-            .withColumn("component", F.coalesce("component", "doc"))
-            .select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_shingles",
-                    F.nullif("component", F.lit(NO_ID)).alias("component_id"),
-                    (F.col("doc") == F.col("component")).alias("kept")))
+            .withColumn("component", F.coalesce("component", "doc")))
 
 
-def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = (near_duplicates(docs, id_column=id_column, **options).where("NOT kept")
-            .select(F.col("doc_id").alias("__gone")).distinct())
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
+                         levels: int = LEVELS, node_limit: int = NODE_LIMIT, id_column: str = "doc_id",
+                         text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows whose id comes with several different texts stay, since links do not tell which of the texts is the copy.
+    """
+    found = _classified(docs, shingle, percent, trees, levels, node_limit, id_column, text_column)
+    content = F.coalesce("digest", F.lit(bytearray()))
+    gone = (found.groupBy("doc").agg(F.min("component").alias("component"), F.min(content).alias("a"), F.max(content).alias("b"))
+            .where("a = b AND component <> doc").select(F.nullif("doc", F.lit(NO_ID)).alias("__gone")))
     return docs.join(gone, docs[id_column].eqNullSafe(gone["__gone"]), "left_anti")

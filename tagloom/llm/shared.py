@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.staging import new_path
+from tagloom.staging import new_path, remove
 
 BLANK = r"[ \t-\r]"
 """The white space of all contracts here: U+0020 and U+0009 to U+000D."""
@@ -24,7 +24,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables that ``stored`` wrote and that no later step reads."""
+    for table in tables:
+        if table is not None:
+            remove(table.sparkSession, table.stored_path)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -9,9 +9,10 @@ import sentencepiece
 from tagloom.llm.components import components
 from tagloom.llm.cuckoo import CuckooFilter
 from tagloom.llm.decontaminate import contaminated
+from tagloom.llm.exact_dedup import drop_copies
 from tagloom.llm.licenses import scan_licenses
 from tagloom.llm.line_dedup import LineIndex
-from tagloom.llm.near_dedup import near_duplicates
+from tagloom.llm.near_dedup import drop_near_duplicates, near_duplicates
 from tagloom.llm.pieces import UNIGRAM, PieceModel, decode, default_model_path, encode
 from tagloom.llm.quality import fit
 from tagloom.llm.sharding import place
@@ -93,6 +94,54 @@ def test_near_duplicates_against_brute_force(spark, limit):
     assert got == brute_components(docs, 4, 80)
 
 
+def test_a_large_group_of_near_copies_beside_others(spark):
+    """A group that drifts away from its beginning, so that no pivot is linked with all of it."""
+    rng = random.Random(8)
+    words, texts = [f"w{rng.randrange(10 ** 6)}" for _ in range(80)], []
+    for i in range(360):
+        if i % 20 == 0:
+            words = list(words)
+            words[rng.randrange(80)] = f"w{rng.randrange(10 ** 6)}"
+        own = list(words)
+        own[rng.randrange(80)] = f"x{i}"
+        texts.append(" ".join(own))
+    texts += [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60)) for _ in range(150)]
+    docs = list(enumerate(rng.sample(texts, len(texts))))
+    got = {r.doc_id: r.component_id for r in near_duplicates(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), shingle=4).collect()}
+    want = brute_components(docs, 4, 80)
+    assert got == want and len(set(want.values())) < 400
+
+
+def test_candidates_that_a_refuted_sure_pair_hid_are_tried(spark, monkeypatch):
+    """With sketches that call every candidate sure, thinning keeps a forest that full sets refute in part."""
+    from tagloom.llm import near_dedup
+    monkeypatch.setattr(near_dedup, "SURE", 0.0)
+    monkeypatch.setattr(near_dedup, "SLACK", 12.0)
+    rng = random.Random(4)
+    texts = []
+    for _ in range(10):
+        base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        for k in range(10):
+            own = list(base)
+            for _ in range(k % 5 + 1):
+                own[rng.randrange(60)] = f"w{rng.randrange(5000)}"
+            texts.append(" ".join(own))
+    docs = list(enumerate(texts))
+    made = near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in made} == brute_components(docs, 4, 80)
+
+
+def test_rows_of_an_id_with_several_texts_are_not_lost(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text), (2, text + " more"), (2, "a wholly different text that nobody else has"), (3, text), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {tuple(r) for r in drop_near_duplicates(docs).collect()}
+    assert kept == {r for r in rows if r[0] != 3}
+    copies = spark.createDataFrame([(1, "aaa bbb"), (5, "aaa  bbb"), (5, "unique text kept"), (None, "aaa bbb")], "doc_id bigint, text string")
+    assert {tuple(r) for r in drop_copies(copies).collect()} == {(1, "aaa bbb"), (5, "unique text kept")}
+
+
 def test_bpe_pieces_equal_the_library(spark):
     model = PieceModel.load(default_model_path())
     library = sentencepiece.SentencePieceProcessor(model_file=default_model_path())
