@@ -17,6 +17,7 @@ Two documents of similarity 0.8 meet below a root position with probability 0.8,
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ PERCENT = 80
 TOKENS = 128
 TREES = 5
 LEVELS = 8
-NODE_LIMIT = 128
+NODE_LIMIT = 512
 SLACK = 4.0
 """Candidates may lie this many standard deviations of the sketch below the threshold."""
 SURE = 0.92
@@ -271,29 +272,27 @@ class _Links:
 
 
 def _level(rows: DataFrame, marks: DataFrame, links: _Links, limit: int) -> DataFrame | None:
-    """Compare the nodes of a level; returns the rows (node, rep) of its large nodes, NULL if there are none."""
+    """Compare the nodes of a level; returns the rows (node, rep) of its large nodes, or None if there are none."""
     nodes = rows.groupBy("node").agg(
         F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"),
         F.min_by(F.struct("rep", "label"), F.xxhash64("rep")).alias("p")).where("n > 1 AND a <> b").select(
             F.col("node").alias("of_node"), "n", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
     grouped = stored(hot_key_join(rows, nodes, "node", "of_node").drop("of_node"), "tree-nodes")
-    small = grouped.where(F.col("n") <= limit).join(marks, "rep")
-    large = grouped.where(F.col("n") > limit)
-    some_large = not large.isEmpty()
-    found = _compare(small, links.percent)
-    if some_large:
-        stars = _star_candidates(large, marks, links.percent)
-        found = found.unionByName(stars.withColumns({"node": F.lit(None).cast("bigint"), "sure": F.lit(False)}))
-    found = stored(found, "tree-candidates")
+    large, kept = grouped.where(F.col("n") > limit), None
+    if not large.isEmpty():
+        # Pivots first: what they link need not be found again in the small nodes.
+        kept = stored(large.select("node", "rep"), "tree-large")
+        release(links.add(_star_candidates(large, marks, links.percent)))
+    small = _with_labels(grouped.where(F.col("n") <= limit).select("node", "rep"), links.edges).join(marks, "rep")
+    found = stored(_compare(small, links.percent), "tree-candidates")
     confirmed = links.add(found)
     ordered = found.where("sure").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "node")
     again = ordered.join(confirmed, ["u", "v"], "left_anti").select("node").distinct()
     if not again.isEmpty():
         # A sure pair was not linked after all, so pairs left out for its sake have to be tried.
-        open_nodes = _with_labels(small.drop("label").join(again, "node", "left_semi"), links.edges)
-        retried = stored(_compare(open_nodes, links.percent, thin=False), "tree-candidates")
+        nodes = _with_labels(grouped.select("node", "rep").join(again, "node", "left_semi"), links.edges)
+        retried = stored(_compare(nodes.join(marks, "rep"), links.percent, thin=False), "tree-candidates")
         release(links.add(retried), retried)
-    kept = stored(large.select("node", "rep"), "tree-large") if some_large else None
     release(grouped, found, confirmed)
     return kept
 
@@ -322,20 +321,32 @@ def _remaining(large: DataFrame, links: _Links, marks: DataFrame, limit: int) ->
 
 
 def _linked(reps: DataFrame, links: _Links, trees: int, levels: int, limit: int) -> None:
-    """Search all trees, level by level; the links found are in ``links``."""
+    """Search all trees, level by level; the links found are in ``links``.
+
+    The first tree's roots go before the others: they find most links, so the nodes of the others are mostly closed.
+    """
     marks, tokens = reps.select("rep", "n_shingles", "marks"), reps.select("rep", "tokens")
-    roots = F.array(*[F.xxhash64(F.lit(r), _token(F.lit(r))) for r in range(2 * trees)])
-    rows = stored(reps.select("rep", F.explode(roots).alias("node"), F.col("rep").alias("label")), "tree")
-    for level in range(1, levels + 1):
-        large = _level(rows, marks, links, limit)
-        release(rows)
-        if large is None:
+    large = []
+    for positions in (range(2), range(2, 2 * trees)):
+        roots = F.array(*[F.xxhash64(F.lit(r), _token(F.lit(r))) for r in positions])
+        if positions:
+            rows = stored(_with_labels(reps, links.edges).select("rep", "label", F.explode(roots).alias("node"))
+                          .select("node", "rep", "label"), "tree")
+            large.append(_level(rows, marks, links, limit))
+            release(rows)
+    for level in range(2, levels + 1):
+        open_rows = [table for table in large if table is not None]
+        if not open_rows:
             return
-        if level < levels:
-            rows = stored(_with_labels(_branch(large.join(tokens, "rep"), 2 if level == 1 else 1), links.edges), "tree")
-            release(large)
-    retried = stored(_compare(_remaining(large, links, marks, limit), links.percent, thin=False), "tree-candidates")
-    release(links.add(retried), retried, large)
+        wide = reduce(DataFrame.unionByName, open_rows).join(tokens, "rep")
+        rows = stored(_with_labels(_branch(wide, 2 if level == 2 else 1), links.edges).select("node", "rep", "label"), "tree")
+        release(*open_rows)
+        large = [_level(rows, marks, links, limit)]
+        release(rows)
+    for table in large:
+        if table is not None:
+            retried = stored(_compare(_remaining(table, links, marks, limit), links.percent, thin=False), "tree-candidates")
+            release(links.add(retried), retried, table)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
