@@ -3,7 +3,7 @@
 from contextlib import ExitStack
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom import schemas
@@ -57,12 +57,12 @@ def run_etl(spark: SparkSession, lake: Lake, posts_csv: list[str], comments_csv:
 
 def _landed(stack: ExitStack, spark: SparkSession, name: str, paths: list[str], schema: str,
             split_from: int) -> Landing:
-    """Parse an export once, counting as it is written; the files go when the stack closes."""
-    seen = Observation(f"export {name}")
+    """Parse an export once; the files go when the stack closes."""
     with parsed_csv(spark, paths, schema, CORRUPT, split_from) as records:
-        counted = records.observe(seen, F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("rejected"))
-        table = stack.enter_context(staged(counted, f"export-{name}"))
-    counts = {"read": 0, "rejected": 0, **seen.get}
+        table = stack.enter_context(staged(records, f"export-{name}"))
+    # The counts read one column, which is NULL nearly everywhere. (Spark's observed metrics would save this
+    # scan, but a session that has used them can no longer serialize the tasks of some of Spark ML's models.)
+    counts = table.agg(F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("rejected")).first().asDict()
     return Landing(table.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
                    table.where(F.col(CORRUPT).isNotNull()), counts)
 
