@@ -9,6 +9,9 @@ edges found are grouped by word, and a fold over them picks the segmentation:
   log probabilities, and the best sum of them is not what such a model encodes; so here the fold
   runs over the same lattice by rank and removes inner borders.
 
+Words that are frequent in a bounded sample of the documents are segmented once and sent to all tasks as a table of
+bounded size; blocks segment the others. So the sample decides only where a word is segmented, not how.
+
 Everything up to the last step is keyed by block, so documents move once, to their block, and nothing
 else is shuffled: words, edges and results of a block stay in its partition.
 """
@@ -23,10 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import NO_ID, text_or_empty
+from tagloom.llm.shared import NO_ID, release, stored, text_or_empty
 
 SPACE = "▁"
 BLOCK_BYTES = 8 * 1024 * 1024
+FREQUENT_WORDS = 250_000
+"""At most this many words are segmented ahead of the blocks; some 40 MB in a Python worker."""
+SAMPLE_BYTES = 64 * 1024 * 1024
+"""Text in which frequent words are counted."""
 MAX_PARTITIONS = 20_000
 """Beyond this many partitions, or the session's number if it is higher, blocks share tasks, which then spill."""
 UNIGRAM, BPE = 1, 2
@@ -216,6 +223,13 @@ class _Spelling(dict):
         self[word] = made = self.spelled(word, range(len(word) + 1))
         return made
 
+    def put(self, batch: pa.RecordBatch) -> None:
+        """Take in words with their borders."""
+        ends = batch.column("borders").offsets.to_pylist()
+        borders = batch.column("borders").values.to_numpy().tolist()
+        for word, a, b in zip(batch.column("word").to_pylist(), ends, ends[1:]):
+            self[word] = self.spelled(word, borders[a:b])
+
     def spelled(self, word: str, borders) -> bytes:
         out = []
         for s, e in zip(borders, borders[1:]):
@@ -234,6 +248,39 @@ def _decoded(ids: np.ndarray, names: tuple) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def _distinct_words(rows: DataFrame, model: PieceModel, *columns: str) -> DataFrame:
+    """Each different word of each text once."""
+    chunks = F.regexp_extract_all(escaped(F.col("text")), F.lit(model.chunk), F.lit(0))
+    return rows.select(*columns, F.explode(F.array_distinct(chunks)).alias("word"))
+
+
+def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = FREQUENT_WORDS,
+                   sample_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame, dict]:
+    """Words of two or more characters in several texts of a sample, ``most`` at most, and the ids of those that pieces touch."""
+    classes = max(1, -(-total // sample_bytes))
+    sample = rows.where(F.pmod(F.xxhash64("text", "doc"), F.lit(classes)) == 0)
+    counted = stored(_distinct_words(sample, model).where(F.char_length("word") > 1).groupBy("word")
+                     .agg(F.count("*").alias("texts")).where("texts > 1"), "piece-words")
+    # Counts are few different numbers. The least one is chosen that lets no more than ``most`` words in.
+    least, room = 2, most
+    for texts, words in sorted(map(tuple, counted.groupBy(F.least("texts", F.lit(100_000)).alias("texts"))
+                                   .count().collect()), reverse=True):
+        room -= words
+        if room < 0:
+            least = texts + 1
+            break
+    groups = 64
+    chosen = stored(counted.where(F.col("texts") >= least).select(
+        "word", F.pmod(F.xxhash64("word"), F.lit(groups)).alias("part"), F.lit(0).cast("bigint").alias("first_doc"))
+        .repartition(groups, "part"), "piece-frequent")
+    release(counted)
+    ids = _Spelling(model)
+    for batch in (segmented(chosen.repartition(groups, "part"), model, ["part"]).select("word", "borders")
+                  .toArrow().to_batches(max_chunksize=10_000)):
+        ids.put(batch)
+    return chosen.select(F.col("word").alias("frequent")), dict(ids)
+
+
 def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text",
            block_bytes: int = BLOCK_BYTES, check: bool = False) -> DataFrame:
     """Piece ids of each whole text: doc_id, ids and, with ``check``, round_trip.
@@ -251,23 +298,22 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
         F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).alias("block"),
         F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
         text_or_empty(text_column).alias("text"))
+    frequent, ids = frequent_words(rows.select("doc", "text"), model, total)
+    ids_of_frequent = docs.sparkSession.sparkContext.broadcast(ids)  # bounded by FREQUENT_WORDS
     # A stated number of partitions keeps Spark from laying many blocks into one task at any input size.
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(min(2 * blocks, max(wide, MAX_PARTITIONS)), "block")
-    chunks = F.regexp_extract_all(escaped(F.col("text")), F.lit(model.chunk), F.lit(0))
     # ``first_doc`` keeps both uses of ``rows`` alike, so that their exchange is made once.
-    words = (rows.select("block", "doc", F.explode(F.array_distinct(chunks)).alias("word"))
+    words = (_distinct_words(rows, model, "block", "doc").join(F.broadcast(frequent), F.col("word") == F.col("frequent"), "left_anti")
              .groupBy("block", "word").agg(F.min("doc").alias("first_doc")))
     known = segmented(words, model, ["block"]).withColumnRenamed("block", "of_block")
     pattern = re.compile(model.chunk)
 
     def assemble(docs_of: pa.Table, words_of: pa.Table) -> pa.Table:
         table = _Spelling(model)
+        table.update(ids_of_frequent.value)
         for batch in words_of.select(["word", "borders"]).to_batches(max_chunksize=10_000):
-            ends = batch.column("borders").offsets.to_pylist()
-            borders = batch.column("borders").values.to_numpy().tolist()
-            for word, a, b in zip(batch.column("word").to_pylist(), ends, ends[1:]):
-                table[word] = table.spelled(word, borders[a:b])
+            table.put(batch)
         del words_of
         out, sizes, same = [], [0], []
         for batch in docs_of.select(["text"]).to_batches(max_chunksize=100):
