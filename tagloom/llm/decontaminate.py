@@ -5,6 +5,9 @@ compared in lower case without punctuation. Windows of such words are hash-joine
 benchmark items. Matches on one diagonal of a document and an item form a passage, and its slots are
 checked: the same value in the item must always be the same value in the document, and the other
 way round. Exact copies pass this trivially, re-parameterised ones if their slots were filled consistently.
+
+Literal windows, of the words without case and punctuation, are joined beside the template windows. They find copies of which the
+templates say too little (mostly numbers) or something else (names in another case).
 """
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +18,8 @@ from tagloom.plans.lookups import lookup_join
 
 WINDOW = 8
 MIN_WORDS = 13
+LEAST_LITERAL = 5
+TEMPLATE, LITERAL = 0, 1
 UNITS = ("mm cm m km in ft yd mi g kg mg lb oz t l ml s ms min h hours hour minutes minute seconds second days "
          "day weeks week months month years year usd eur dollars dollar cents cent euros euro percent "
          "meters metres kilometers kilometres miles grams kilograms pounds liters litres degrees").split()
@@ -42,11 +47,24 @@ def template_words(text: Column) -> Column:
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ", -1))
 
 
-def _windows(words: str, length: int) -> Column:
+def literal_words(text: Column) -> Column:
+    """One word per raw word, without case and punctuation."""
+    spaced = F.btrim(F.regexp_replace(text, r"[ \t-\r]+", " "), F.lit(" "))
+    plain = F.lower(F.regexp_replace(spaced, r"[^\p{L}\p{Nd} ]+", ""))
+    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ", -1))
+
+
+def _numbers(words: Column, kind: int) -> Column:
+    """A hash per word; those of template and literal words differ."""
+    return F.transform(words, lambda word: F.xxhash64(F.lit(kind), word))
+
+
+def _windows(numbers: str, length: int) -> Column:
     """Hash of each window, in order; none if there are fewer words."""
-    last = F.size(words) - length
+    last = F.size(numbers) - length
     return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, length))))
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(numbers, i + 1, length)))).otherwise(
+            F.array().cast("array<bigint>"))
 
 
 def _is_slot(word: Column) -> Column:
@@ -54,17 +72,25 @@ def _is_slot(word: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
-    """Windows of the items: hash, item, at, length. Items shorter than a window are one window.
+    """Windows of the items: hash, item, at, length, literal. Items shorter than a window are one window.
 
-    Windows of which more than half is placeholders would match anything and are left out.
+    Template windows of which more than half is placeholders would match anything and are left out, and so are literal
+    windows of fewer than ``LEAST_LITERAL`` words.
     """
     sized = items.withColumn("length", F.least(F.size("words"), F.lit(window)))
     spans = (sized.where("length > 0")
-             .select("item", "words", "length", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("at"))
-             .withColumn("part", F.slice("words", F.col("at") + 1, F.col("length"))))
-    slots = F.size(F.filter("part", _is_slot))
-    return (spans.where(slots * 2 <= F.col("length"))
-            .select(F.xxhash64("part").alias("hash"), "item", "at", "length"))
+             .select("item", "words", "numbers", "literals", "length",
+                     F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("at"))
+             .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("literal")))
+
+    def part(of: str) -> Column:
+        return F.slice(of, F.col("at") + 1, F.col("length"))
+
+    slots = F.size(F.filter(part("words"), _is_slot))
+    told = F.when(F.col("literal"), F.col("length") >= LEAST_LITERAL).otherwise(slots * 2 <= F.col("length"))
+    return spans.where(told).select(
+        F.xxhash64(F.when(F.col("literal"), part("literals")).otherwise(part("numbers"))).alias("hash"),
+        "item", "at", "length", "literal")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = MIN_WORDS,
@@ -74,7 +100,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
     Returns doc_id, item_id, first_word and last_word (in the document, from 0), matched_words, coverage
     (of the item), exact (all slot values equal). A passage counts if its windows cover ``min_words`` words
-    on one diagonal, or the whole item, and its slots are consistent.
+    on one diagonal, or the whole item, and its slots are consistent. Copies that differ in case and punctuation only are exact.
 
     * Missing, empty and blank texts match nothing, on either side.
     * Rows repeated in full give each passage once; rows of one id are one document. A missing id
@@ -83,6 +109,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     items = stored(
         benchmark.select(F.col(item_column).alias("item"), text_or_empty(item_text_column).alias("text"))
         .distinct().withColumn("words", template_words(F.col("text")))
+        .withColumn("numbers", _numbers(F.col("words"), TEMPLATE))
+        .withColumn("literals", _numbers(literal_words(F.col("text")), LITERAL))
         .withColumn("raw", raw_words(F.col("text"))), "benchmark-items")
     index = stored(benchmark_windows(items, window).distinct(), "benchmark-windows")
     lengths = [row[0] for row in index.select("length").distinct().collect()]  # at most ``window`` of them
@@ -90,28 +118,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     rows = docs.select(F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
                        text_or_empty(text_column).alias("text"))
     # Exploding one struct column keeps the windows of a document out of one another's rows.
-    words = rows.select("doc", F.explode(F.array(template_words(F.col("text")))).alias("words"))
+    words = rows.select("doc", F.explode(F.array(F.struct(
+        _numbers(template_words(F.col("text")), TEMPLATE).alias("numbers"),
+        _numbers(literal_words(F.col("text")), LITERAL).alias("literals")))).alias("of")).select("doc", "of.*")
     matches = None
     for length in sorted(lengths):
-        windows = words.select("doc", F.posexplode(_windows("words", length)).alias("place", "window"))
-        own = index.where(F.col("length") == length).select("hash", "item", "at")
+        both = F.concat(_windows("numbers", length), _windows("literals", length))
+        windows = words.select("doc", (F.size("numbers") - length + 1).alias("n"), F.posexplode(both).alias("at_both", "window"))
+        own = index.where(F.col("length") == length).select("hash", "item", "at", "literal")
+        place = F.col("at_both") - F.when(F.col("literal"), F.col("n")).otherwise(0)
         found = lookup_join(windows, own, "window", "hash", "inner").select(
-            "doc", "item", "at", (F.col("place") - F.col("at")).alias("diagonal"), F.lit(length).alias("length"))
+            "doc", "item", "at", "literal", (place - F.col("at")).alias("diagonal"), F.lit(length).alias("length"))
         matches = found if matches is None else matches.unionByName(found)
     schema = "doc_id bigint, item_id bigint, first_word int, last_word int, matched_words int, coverage double, exact boolean"
     if matches is None:
         return docs.sparkSession.createDataFrame([], schema)
 
-    span = F.transform(F.array_distinct("starts"), lambda at: F.sequence(at, at + F.col("length") - 1))
+    def places(starts: str) -> Column:
+        span = F.transform(starts, lambda at: F.sequence(at, at + F.col("length") - 1))
+        return F.array_sort(F.array_distinct(F.flatten(span)))
+
     passages = (matches.groupBy("doc", "item", "diagonal", "length")
-                .agg(F.collect_set("at").alias("starts"))
-                .withColumn("covered", F.array_sort(F.array_distinct(F.flatten(span))))
+                .agg(F.collect_set("at").alias("starts"),
+                     F.collect_set(F.when(F.col("literal"), F.col("at"))).alias("literal_starts"))
+                .withColumn("covered", places("starts")).withColumn("same", places("literal_starts"))
                 .withColumn("matched_words", F.size("covered")))
     passages = (passages.join(items.select("item", F.col("words").alias("item_words"),
                                            F.col("raw").alias("item_raw")), "item")
                 .where((F.col("matched_words") >= min_words)
                        | (F.col("matched_words") == F.size("item_words"))))
-    passages = stored(passages.drop("starts", "length"), "passages")
+    passages = stored(passages.drop("starts", "literal_starts", "length"), "passages")
 
     # Slot values are looked up in the texts of the matched documents only.
     held = rows.join(passages.select("doc").distinct(), "doc", "left_semi").withColumn(
@@ -122,7 +158,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         return F.lower(F.regexp_replace(F.get(words, at), r"^[^\p{L}\p{Nd}]+|[^\p{L}\p{Nd}]+$", ""))
 
     pairs = F.array_distinct(F.transform(slots, lambda at: F.struct(
-        value("item_raw", at).alias("item"), value("doc_raw", at + F.col("diagonal")).alias("doc"))))
+        value("item_raw", at).alias("item"),
+        F.when(F.array_contains("same", at), value("item_raw", at))
+        .otherwise(value("doc_raw", at + F.col("diagonal"))).alias("doc"))))
     checked = passages.join(held, "doc").withColumn("pairs", pairs)
     one_to_one = ((F.size(F.array_distinct("pairs.item")) == F.size("pairs"))
                   & (F.size(F.array_distinct("pairs.doc")) == F.size("pairs")))

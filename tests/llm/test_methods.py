@@ -190,6 +190,44 @@ def test_reparameterised_questions_need_consistent_slots(spark):
     assert {(r.doc_id, r.item_id, r.exact) for r in rows} == {(1, 5, True), (2, 5, False)}
 
 
+def literal_runs(doc, item):
+    """Longest run of words that a document shares with an item, without case and punctuation, by brute force."""
+    one, two = (["".join(c for c in w if c.isalnum()).lower() for w in text.split()] for text in (doc, item))
+    best = 0
+    for a in range(len(one)):
+        for b in range(len(two)):
+            n = 0
+            while a + n < len(one) and b + n < len(two) and one[a + n] == two[b + n]:
+                n += 1
+            best = max(best, n)
+    return best
+
+
+def test_copies_rich_in_numbers_or_in_another_case_are_found(spark):
+    items = [
+        (1, "given 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 find 18 19 20"),
+        (2, "On Monday Anna met Boris, Clara, David, Emil, Frida, Georg and Hanna in Paris near Lyon with Ida"),
+        (3, "The quick brown fox jumps over the lazy dog while many other animals watch it from afar today"),
+    ]
+    around = "some words before it {} and some words after it"
+    rng = random.Random(2)
+    docs = [(10, around.format(items[0][1])), (20, around.format(items[1][1].lower())), (21, items[1][1].upper()),
+            (30, around.format(items[2][1].replace(" ", " \n"))), (40, "given 4 3 5 7 6 8 10 9 11 13 12 14 16 15 17 find 20 19 18"),
+            (50, None), (60, "")]
+    for k in range(60):  # pieces of an item of any length, between other words
+        words = items[k % 3][1].split()
+        start = rng.randrange(len(words) - 9)
+        piece = words[start:start + rng.randrange(9, 20)]
+        docs.append((100 + k, "alpha " * 9 + " ".join(piece).lower() + " omega" * 9))
+    schema = "{} bigint, text string"
+    got = {(r.doc_id, r.item_id) for r in contaminated(
+        spark.createDataFrame(docs, schema.format("doc_id")), spark.createDataFrame(items, schema.format("item_id"))).collect()}
+    want = {(d, i) for d, text in docs for i, item in items if literal_runs(text or "", item) >= 13}
+    assert want <= got and (10, 1) in want and (20, 2) in want
+    assert not {d for d, _ in got} & {40, 50, 60}
+    assert {d for d, _ in got} == {d for d, _ in want}
+
+
 def test_licenses_are_found_with_their_spans(spark):
     text = "Some words.\nreleased under THE  MIT license. More.\nLicensed under the Apache Licence, Version 2.0\nrights reserved"
     rows = scan_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
