@@ -7,7 +7,9 @@ checked: the same value in the item must always be the same value in the documen
 way round. Exact copies pass this trivially, re-parameterised ones if their slots were filled consistently.
 
 Literal windows, of the words without case and punctuation, are joined beside the template windows. They find copies of which the
-templates say too little (mostly numbers) or something else (names in another case).
+templates say too little (mostly numbers) or something else (names in another case). A run of ``MIN_WORDS`` words holds a window
+that begins at a multiple of ``MIN_WORDS - WINDOW + 1``, so the documents' literal windows are taken at such places only; how far
+a copy goes is then read from the two texts.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +21,8 @@ from tagloom.plans.lookups import lookup_join
 WINDOW = 8
 MIN_WORDS = 13
 LEAST_LITERAL = 5
-TEMPLATE, LITERAL = 0, 1
+LITERAL = 1
+"""Enters the hashes of literal windows."""
 UNITS = ("mm cm m km in ft yd mi g kg mg lb oz t l ml s ms min h hours hour minutes minute seconds second days "
          "day weeks week months month years year usd eur dollars dollar cents cent euros euro percent "
          "meters metres kilometers kilometres miles grams kilograms pounds liters litres degrees").split()
@@ -54,16 +57,11 @@ def literal_words(text: Column) -> Column:
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ", -1))
 
 
-def _numbers(words: Column, kind: int) -> Column:
-    """A hash per word; those of template and literal words differ."""
-    return F.transform(words, lambda word: F.xxhash64(F.lit(kind), word))
-
-
-def _windows(numbers: str, length: int) -> Column:
-    """Hash of each window, in order; none if there are fewer words."""
-    last = F.size(numbers) - length
+def _windows(words: str, length: int, step: int = 1, *kind: Column) -> Column:
+    """Hash of the window at each multiple of ``step``; none if there are fewer words."""
+    last = F.size(words) - length
     return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(numbers, i + 1, length)))).otherwise(
+        F.sequence(F.lit(0), last, F.lit(step)), lambda i: F.xxhash64(F.slice(words, i + 1, length), *kind))).otherwise(
             F.array().cast("array<bigint>"))
 
 
@@ -79,7 +77,7 @@ def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
     """
     sized = items.withColumn("length", F.least(F.size("words"), F.lit(window)))
     spans = (sized.where("length > 0")
-             .select("item", "words", "numbers", "literals", "length",
+             .select("item", "words", "literals", "length",
                      F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("at"))
              .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("literal")))
 
@@ -89,7 +87,7 @@ def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
     slots = F.size(F.filter(part("words"), _is_slot))
     told = F.when(F.col("literal"), F.col("length") >= LEAST_LITERAL).otherwise(slots * 2 <= F.col("length"))
     return spans.where(told).select(
-        F.xxhash64(F.when(F.col("literal"), part("literals")).otherwise(part("numbers"))).alias("hash"),
+        F.when(F.col("literal"), F.xxhash64(part("literals"), F.lit(LITERAL))).otherwise(F.xxhash64(part("words"))).alias("hash"),
         "item", "at", "length", "literal")
 
 
@@ -109,8 +107,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     items = stored(
         benchmark.select(F.col(item_column).alias("item"), text_or_empty(item_text_column).alias("text"))
         .distinct().withColumn("words", template_words(F.col("text")))
-        .withColumn("numbers", _numbers(F.col("words"), TEMPLATE))
-        .withColumn("literals", _numbers(literal_words(F.col("text")), LITERAL))
+        .withColumn("literals", literal_words(F.col("text")))
         .withColumn("raw", raw_words(F.col("text"))), "benchmark-items")
     index = stored(benchmark_windows(items, window).distinct(), "benchmark-windows")
     lengths = [row[0] for row in index.select("length").distinct().collect()]  # at most ``window`` of them
@@ -119,14 +116,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
                        text_or_empty(text_column).alias("text"))
     # Exploding one struct column keeps the windows of a document out of one another's rows.
     words = rows.select("doc", F.explode(F.array(F.struct(
-        _numbers(template_words(F.col("text")), TEMPLATE).alias("numbers"),
-        _numbers(literal_words(F.col("text")), LITERAL).alias("literals")))).alias("of")).select("doc", "of.*")
+        template_words(F.col("text")).alias("words"), literal_words(F.col("text")).alias("literals")))).alias("of")).select(
+            "doc", "of.*")
+    shortest = items.where(F.size("words") >= window).agg(F.min(F.size("words"))).first()[0] or window
     matches = None
     for length in sorted(lengths):
-        both = F.concat(_windows("numbers", length), _windows("literals", length))
-        windows = words.select("doc", (F.size("numbers") - length + 1).alias("n"), F.posexplode(both).alias("at_both", "window"))
+        step = max(1, min(min_words, shortest) - window + 1) if length == window else 1
+        both = F.concat(_windows("words", length), _windows("literals", length, step, F.lit(LITERAL)))
+        windows = words.select("doc", (F.size("words") - length + 1).alias("n"), F.posexplode(both).alias("at_both", "window"))
         own = index.where(F.col("length") == length).select("hash", "item", "at", "literal")
-        place = F.col("at_both") - F.when(F.col("literal"), F.col("n")).otherwise(0)
+        place = F.when(F.col("literal"), (F.col("at_both") - F.col("n")) * step).otherwise(F.col("at_both"))
         found = lookup_join(windows, own, "window", "hash", "inner").select(
             "doc", "item", "at", "literal", (place - F.col("at")).alias("diagonal"), F.lit(length).alias("length"))
         matches = found if matches is None else matches.unionByName(found)
@@ -134,24 +133,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     if matches is None:
         return docs.sparkSession.createDataFrame([], schema)
 
-    def places(starts: str) -> Column:
-        span = F.transform(starts, lambda at: F.sequence(at, at + F.col("length") - 1))
+    def places(starts: str | Column, length: Column) -> Column:
+        span = F.transform(starts, lambda at: F.sequence(at, at + length - 1))
         return F.array_sort(F.array_distinct(F.flatten(span)))
 
+    def enough(column: str) -> Column:
+        return F.size(column) >= F.least(F.lit(min_words), F.size("item_words"))
+
     passages = (matches.groupBy("doc", "item", "diagonal", "length")
-                .agg(F.collect_set("at").alias("starts"),
-                     F.collect_set(F.when(F.col("literal"), F.col("at"))).alias("literal_starts"))
-                .withColumn("covered", places("starts")).withColumn("same", places("literal_starts"))
-                .withColumn("matched_words", F.size("covered")))
-    passages = (passages.join(items.select("item", F.col("words").alias("item_words"),
+                .agg(F.collect_set(F.when(~F.col("literal"), F.col("at"))).alias("starts"),
+                     F.max("literal").alias("literal"))
+                .withColumn("told", places("starts", F.col("length"))))
+    passages = (passages.join(items.select("item", F.col("words").alias("item_words"), F.col("literals").alias("item_literals"),
                                            F.col("raw").alias("item_raw")), "item")
-                .where((F.col("matched_words") >= min_words)
-                       | (F.col("matched_words") == F.size("item_words"))))
-    passages = stored(passages.drop("starts", "literal_starts", "length"), "passages")
+                .where(F.col("literal") | enough("told")))
+    passages = stored(passages.drop("starts", "length", "literal"), "passages")
 
     # Slot values are looked up in the texts of the matched documents only.
     held = rows.join(passages.select("doc").distinct(), "doc", "left_semi").withColumn(
-        "doc_raw", raw_words(F.col("text"))).select("doc", "doc_raw")
+        "doc_raw", raw_words(F.col("text"))).withColumn("doc_literals", literal_words(F.col("text"))).select(
+            "doc", "doc_raw", "doc_literals")
+    run = F.least(F.lit(min_words), F.size("item_words"))
+    alike = F.transform("item_literals", lambda word, at: F.coalesce(
+        (at + F.col("diagonal") >= 0) & (word == F.get("doc_literals", at + F.col("diagonal"))), F.lit(False)))
+    runs = F.filter(F.sequence(F.lit(0), F.size("alike") - run), lambda at: F.forall(F.slice("alike", at + 1, run), lambda x: x))
     slots = F.filter("covered", lambda at: _is_slot(F.get("item_words", at)))
 
     def value(words: str, at: Column) -> Column:
@@ -161,7 +166,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         value("item_raw", at).alias("item"),
         F.when(F.array_contains("same", at), value("item_raw", at))
         .otherwise(value("doc_raw", at + F.col("diagonal"))).alias("doc"))))
-    checked = passages.join(held, "doc").withColumn("pairs", pairs)
+    checked = (passages.join(held, "doc").withColumn("alike", alike).withColumn("same", places(runs, run))
+               .withColumn("covered", F.array_sort(F.array_union("told", "same"))).where(enough("covered"))
+               .withColumn("matched_words", F.size("covered")).withColumn("pairs", pairs))
     one_to_one = ((F.size(F.array_distinct("pairs.item")) == F.size("pairs"))
                   & (F.size(F.array_distinct("pairs.doc")) == F.size("pairs")))
     return (checked.where(one_to_one).select(
