@@ -12,10 +12,14 @@ edges found are grouped by word, and a fold over them picks the segmentation:
 Words that are frequent in a bounded sample of the documents are segmented once and sent to all tasks as a table of
 bounded size; blocks segment the others. So the sample decides only where a word is segmented, not how.
 
+The folds take time by the square of a word's length. Words beyond ``LONG_WORD`` characters are segmented by the same
+merges, or the same Viterbi steps, with a heap or table in the task that puts the ids of their document together.
+
 Everything up to the last step is keyed by block, so documents move once, to their block, and nothing
 else is shuffled: words, edges and results of a block stay in its partition.
 """
 
+import heapq
 import re
 import struct
 from collections import Counter
@@ -36,6 +40,8 @@ SAMPLE_BYTES = 64 * 1024 * 1024
 """Text in which frequent words are counted."""
 MAX_PARTITIONS = 20_000
 """Beyond this many partitions, or the session's number if it is higher, blocks share tasks, which then spill."""
+LONG_WORD = 256
+"""Longest word that the lattice holds; longer ones, such as encoded data, are segmented in place."""
 UNIGRAM, BPE = 1, 2
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u1fff\u2c00-\u2dff\u3005-\ud7ff"
 UNKNOWN_PENALTY = 10.0
@@ -110,7 +116,7 @@ def escaped(text: Column) -> Column:
 # The folds. Borders count code points from 0. An edge of a BPE word is one number, which sorts by rank,
 # then start, then end; an edge of a unigram word is a struct (s, e, score).
 
-PLACE_BITS = 22
+PLACE_BITS = 22  # far more than LONG_WORD needs
 
 
 def _start(edge: Column) -> Column:
@@ -211,18 +217,75 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
     return lattice.select(*keys, "word", "first_doc", final.alias("borders"))
 
 
+def merged_borders(word: str, scores: dict[str, float]) -> list[int]:
+    """Borders after merging, again and again, the neighbours whose piece has the best score, the first of equals."""
+    n = len(word)
+    ends = [*range(1, n + 1), n]  # end of the segment that starts here; 0 once it was merged away
+    begins = [0, *range(n)]       # start of the segment that ends here
+    waiting = []
+
+    def offer(s: int) -> None:
+        if ends[s] < n:
+            e = ends[ends[s]]
+            score = scores.get(word[s:e])
+            if score is not None:
+                heapq.heappush(waiting, (-score, s, e))
+
+    for s in range(n):
+        offer(s)
+    while waiting:
+        _, s, e = heapq.heappop(waiting)
+        middle = ends[s]
+        if middle == 0 or middle >= e or ends[middle] != e:
+            continue
+        ends[s], ends[middle], begins[e] = e, 0, s
+        offer(s)
+        if s:
+            offer(begins[s])
+    return [s for s in range(n) if ends[s]] + [n]
+
+
+def best_borders(word: str, scores: dict[str, float], longest: int) -> list[int]:
+    """Borders of the path with the highest sum of scores, by the rules of ``_viterbi``."""
+    alone = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+    sums, back = [0.0], [0]
+    for e in range(1, len(word) + 1):
+        ways = [(sums[s] + scores[word[s:e]], -s) for s in range(max(0, e - longest), e) if word[s:e] in scores]
+        total, s = max([*ways, (sums[e - 1] + alone, 1 - e)])
+        sums.append(total)
+        back.append(-s)
+    path = [len(word)]
+    while path[-1]:
+        path.append(back[path[-1]])
+    return path[::-1]
+
+
 class _Spelling(dict):
-    """Ids of words, as the bytes of 32-bit numbers; a word that was not put in stands by characters."""
+    """Ids of words, as the bytes of 32-bit numbers.
+
+    A word that was not put in stands by characters if the lattice could hold it, and is segmented here if it could not.
+    """
 
     def __init__(self, model: PieceModel):
         super().__init__()
+        self.model = model
         self.ids = {p: i for p, i, _ in model.pieces}
+        self.scores: dict[str, float] | None = None
         self.first_byte, self.unknown = model.first_byte, model.unknown
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = made = self.spelled(word, range(len(word) + 1))
+        made = self.spelled(word, range(len(word) + 1) if len(word) <= LONG_WORD else self.borders(word))
+        if len(word) <= LONG_WORD:
+            self[word] = made
         return made
 
+    def borders(self, word: str) -> list[int]:
+        if self.scores is None:
+            self.scores = {p: s for p, _, s in self.model.pieces}
+        if self.model.kind == UNIGRAM:
+            return best_borders(word, self.scores, self.model.longest)
+        return merged_borders(word, self.scores)
+
     def put(self, batch: pa.RecordBatch) -> None:
         """Take in words with their borders."""
         ends = batch.column("borders").offsets.to_pylist()
@@ -249,9 +312,10 @@ def _decoded(ids: np.ndarray, names: tuple) -> str:
 
 
 def _distinct_words(rows: DataFrame, model: PieceModel, *columns: str) -> DataFrame:
-    """Each different word of each text once."""
+    """Each different word of each text once, but for long ones."""
     chunks = F.regexp_extract_all(escaped(F.col("text")), F.lit(model.chunk), F.lit(0))
-    return rows.select(*columns, F.explode(F.array_distinct(chunks)).alias("word"))
+    return (rows.select(*columns, F.explode(F.array_distinct(chunks)).alias("word"))
+            .where(F.char_length("word") <= LONG_WORD))
 
 
 def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = FREQUENT_WORDS,
@@ -290,7 +354,7 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
     * NULL and empty texts have no pieces. A space mark in a text is read as a space.
     * Rows repeated in full are encoded each; a missing id stays NULL. Other columns are ignored.
     * An empty table gives an empty result.
-    * Words without a border take time by the square of their length.
+    * Words of more than ``LONG_WORD`` characters get the same pieces, in time about in proportion to their length.
     """
     total = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))

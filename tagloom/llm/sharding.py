@@ -4,7 +4,8 @@ Groups of equal texts stay together. A group is placed where the dot product of
 and the remaining capacity is highest. Only a bounded number of units is placed one by one:
 
 * a group larger than a shard in any measure is first cut into parts by document id; at most
-  ``3 * shards`` groups can be that large;
+  ``3 * shards`` groups can be that large. Rows of one id that fill a unit by themselves are dealt over the
+  parts by their stored place;
 * a group or part above ``1 / HEAVY`` of a shard in any measure is a unit of its own; there can be
   at most ``3 * shards * HEAVY`` of them;
 * all smaller groups go by hash to ``2 * shards * BUCKETS`` buckets, which are the other units. Every
@@ -25,6 +26,8 @@ BUCKETS = 64
 MEASURES = ("size", "tokens", "rows")
 WEIGHTS = (4.0, 1.0, 1.0)
 """Pull of each measure in the dot product; bytes count most, since shards are read by bytes."""
+CUTS = 4
+"""Parts per shard that a group larger than a shard is cut into; finer parts level better."""
 SLOT_CHUNKS = 1024
 
 
@@ -63,12 +66,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, heavy: int = HEAVY, buckets: in
 
     * A missing text has 8 bytes and no words. Equal texts share a shard, unless their group is
       larger than a shard; then its parts do.
-    * Rows repeated in full are one group and each get a slot of their own; a missing id is
+    * Rows repeated in full are one group, of any size, and each get a slot of their own; a missing id is
       treated as any other id. Slots count from 0 without gaps in each shard.
     * An empty table gives an empty result; other columns of ``docs`` are ignored.
     """
     spark = docs.sparkSession
-    rows = stored(measured(docs, id_column, text_column), "shard-sizes")
+    # The place is written with the row, so all later steps see the same one.
+    rows = stored(measured(docs, id_column, text_column).withColumn("place", F.monotonically_increasing_id()), "shard-sizes")
     total = rows.agg(*[F.sum(m).alias(m) for m in MEASURES[:2]], F.count("*").alias("rows")).first()
     capacity = [max((total[m] or 0) / shards, 1e-9) for m in MEASURES]
 
@@ -76,9 +80,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, heavy: int = HEAVY, buckets: in
         return F.greatest(*[F.col(m) / F.lit(c) for m, c in zip(MEASURES, capacity, strict=True)])
 
     groups = _sums(rows, "group")
-    cut = groups.where(share() > 1).select("group", F.ceil(share()).alias("parts"))
-    rows = rows.join(F.broadcast(cut), "group", "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("doc_id"), "parts"), F.lit(0).cast("long")))
+    cut = groups.where(share() > 1).select("group", F.ceil(share() * CUTS).alias("parts"))
+    # Rows that repeat one id of a group to be cut; like heavy units, at most 3 * shards * heavy ids can be such.
+    repeated = (_sums(rows.join(F.broadcast(cut.select("group")), "group"), "group", "doc_id").where("rows > 1")
+                .where(share() > 1 / heavy).select(F.col("group").alias("in_group"), F.col("doc_id").alias("of_id")))
+    rows = (rows.join(F.broadcast(cut), "group", "left")
+            .join(F.broadcast(repeated), (F.col("group") == F.col("in_group")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
+            .withColumn("dealt", F.when(F.col("in_group").isNull(), F.xxhash64("doc_id")).otherwise(F.col("place")))
+            .withColumn("part", F.coalesce(F.pmod("dealt", "parts"), F.lit(0).cast("long"))))
     units = stored(_sums(rows, "group", "part"), "shard-units")
 
     spread = F.xxhash64("group", "part")
@@ -104,14 +113,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, heavy: int = HEAVY, buckets: in
     placed = (rows.join(F.broadcast(heavy_shards), ["group", "part"], "left")
               .withColumn("bucket", bucket)
               .join(F.broadcast(bucket_shards), "bucket", "left")
-              .select("doc_id", "size", "text_crc32",
+              .select("doc_id", "size", "text_crc32", "dealt",
                       F.coalesce("heavy_shard", "bucket_shard").alias("shard")))
     return with_slots(placed)
 
 
 def with_slots(placed: DataFrame, chunks: int = SLOT_CHUNKS) -> DataFrame:
-    """Number the rows of each shard from 0, in chunks, so that no task orders a whole shard."""
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    """Number the rows of each shard from 0, in chunks by ``dealt``, so that no task orders a whole shard."""
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("dealt"), F.lit(chunks)).cast("int"))
     before = Window.partitionBy("shard").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = (placed.groupBy("shard", "chunk").count()
