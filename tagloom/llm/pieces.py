@@ -15,14 +15,15 @@ bounded size; blocks segment the others. So the sample decides only where a word
 The folds take time by the square of a word's length. Words beyond ``LONG_WORD`` characters are segmented by the same
 merges, or the same Viterbi steps, with a heap or table in the task that puts the ids of their document together.
 
-Everything up to the last step is keyed by block, so documents move once, to their block, and nothing
-else is shuffled: words, edges and results of a block stay in its partition.
+Everything up to the last step is keyed by block, so documents move once, to their block, and so do the words that
+are not frequent: edges and results of a block stay in its partition.
 """
 
 import heapq
 import re
 import struct
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -318,9 +319,30 @@ def _distinct_words(rows: DataFrame, model: PieceModel, *columns: str) -> DataFr
             .where(F.char_length("word") <= LONG_WORD))
 
 
+def _other_words(rows: DataFrame, model: PieceModel, ids_of_frequent) -> DataFrame:
+    """(block, word): words of two characters or more that are not among the frequent, each once per batch of texts."""
+    pattern = re.compile(model.chunk)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ids_of_frequent.value
+        for batch in batches:
+            found: dict[int, set] = {}
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if text:
+                    words = pattern.findall(SPACE + text.replace(" ", SPACE))
+                    found.setdefault(block, set()).update(
+                        w for w in words if w not in known and 1 < len(w) <= LONG_WORD)
+            sizes = [len(words) for words in found.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.fromiter(found, np.int64, len(found)), sizes), pa.int64()),
+                 pa.array([w for words in found.values() for w in words], pa.string())], names=["block", "word"])
+
+    return rows.select("block", "text").mapInArrow(find, "block bigint, word string")
+
+
 def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = FREQUENT_WORDS,
-                   sample_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame, dict]:
-    """Words of two or more characters in several texts of a sample, ``most`` at most, and the ids of those that pieces touch."""
+                   sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
+    """Ids of words of two or more characters in several texts of a sample, ``most`` words at most."""
     classes = max(1, -(-total // sample_bytes))
     sample = rows.where(F.pmod(F.xxhash64("text", "doc"), F.lit(classes)) == 0)
     counted = stored(_distinct_words(sample, model).where(F.char_length("word") > 1).groupBy("word")
@@ -342,7 +364,10 @@ def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = F
     for batch in (segmented(chosen.repartition(groups, "part"), model, ["part"]).select("word", "borders")
                   .toArrow().to_batches(max_chunksize=10_000)):
         ids.put(batch)
-    return chosen.select(F.col("word").alias("frequent")), dict(ids)
+    for word in chosen.select("word").toArrow().column("word").to_pylist():
+        ids[word]  # a word that no piece touches stands by characters
+    release(chosen)
+    return dict(ids)
 
 
 def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text",
@@ -362,14 +387,14 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
         F.pmod(F.xxhash64(id_column, text_column), F.lit(blocks)).alias("block"),
         F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
         text_or_empty(text_column).alias("text"))
-    frequent, ids = frequent_words(rows.select("doc", "text"), model, total)
+    ids = frequent_words(rows.select("doc", "text"), model, total)
     ids_of_frequent = docs.sparkSession.sparkContext.broadcast(ids)  # bounded by FREQUENT_WORDS
     # A stated number of partitions keeps Spark from laying many blocks into one task at any input size.
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(min(2 * blocks, max(wide, MAX_PARTITIONS)), "block")
-    # ``first_doc`` keeps both uses of ``rows`` alike, so that their exchange is made once.
-    words = (_distinct_words(rows, model, "block", "doc").join(F.broadcast(frequent), F.col("word") == F.col("frequent"), "left_anti")
-             .groupBy("block", "word").agg(F.min("doc").alias("first_doc")))
+    parts = min(2 * blocks, max(wide, MAX_PARTITIONS))
+    source, rows = rows, rows.repartition(parts, "block")
+    words = (_other_words(source, model, ids_of_frequent).repartition(parts, "block").distinct()
+             .withColumn("first_doc", F.lit(0).cast("bigint")))
     known = segmented(words, model, ["block"]).withColumnRenamed("block", "of_block")
     pattern = re.compile(model.chunk)
 
