@@ -76,22 +76,28 @@ def score_by_weights(texts: DataFrame, weights: DataFrame, key: str = "Id", text
     return scored.select(key, "Score", (F.col("Score") > 0).cast("int").alias("Sentiment"))
 
 
-def ship_weights(weights: DataFrame) -> str:
-    """Write the weights to the shared folder and have Spark hand them to each executor; the name to load them by."""
+def ship_weights(weights: DataFrame) -> tuple[str, ...]:
+    """Write the weights to the shared folder and have Spark hand them to each executor; the names to load them by.
+
+    The files are handed on one by one: outside local mode Spark hands on no folder of a file system that it reads by file:.
+    """
     spark = weights.sparkSession
     path = new_path(spark, "weights")
     weights.write.parquet(path)
-    rows = spark.read.parquet(path).count()
+    written = spark.read.schema(weights.schema).parquet(path)
+    rows = written.count()
     if rows > MAX_SHIPPED:
         raise ValueError(f"{rows} weights are too many for one process; use score_by_weights")
-    spark.sparkContext.addFile(path, recursive=True)
-    return path.rpartition("/")[2]
+    files = sorted(written.inputFiles())  # names that no other write uses
+    for file in files:
+        spark.sparkContext.addFile(file)
+    return tuple(file.rpartition("/")[2] for file in files)
 
 
 @lru_cache(maxsize=2)
-def _loaded(name: str) -> tuple[pa.Array, np.ndarray, float]:
+def _loaded(names: tuple[str, ...]) -> tuple[pa.Array, np.ndarray, float]:
     """Tokens, their weights and the prior; read once per process."""
-    table = pq.read_table(SparkFiles.get(name)).combine_chunks()
+    table = pa.concat_tables([pq.read_table(SparkFiles.get(name)) for name in names]).combine_chunks()
     tokens, weights = table["Token"].combine_chunks(), table["Weight"].to_numpy()
     prior = pc.index(tokens, PRIOR).as_py()
     return tokens, weights, float(weights[prior])
@@ -108,12 +114,12 @@ def batch_scores(texts: pd.Series, tokens: pa.Array, weights: np.ndarray, prior:
     return prior + np.bincount(seen["owner"].filter(known).to_numpy(), weights[place.filter(known).to_numpy()], minlength=len(texts))
 
 
-def shipped_sentiment(name: str) -> Scorer:
+def shipped_sentiment(names: tuple[str, ...]) -> Scorer:
     """Score with weights that ``ship_weights`` handed to the executors: each process loads them once, each batch is one look-up."""
 
     @pandas_udf("int")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = _loaded(name)
+        model = _loaded(names)
         for texts in batches:
             known = texts.dropna()
             positive = batch_scores(known, *model) > 0 if len(known) else []

@@ -54,3 +54,22 @@ def test_odd_texts(spark):
     nothing = fit_weights(labelled.limit(0))
     assert [tuple(r) for r in nothing.collect()] == [("", 0.0)]
     assert {r.Sentiment for r in score_by_weights(texts, nothing).collect()} == {0, None}
+
+
+def test_only_files_are_handed_to_executors(spark, monkeypatch):
+    """A cluster refuses folders of a local file system, which local mode takes."""
+    handed = []
+    add = type(spark.sparkContext).addFile
+
+    def seen(context, path, recursive=False):
+        handed.append((path, recursive))
+        add(context, path, recursive)
+
+    monkeypatch.setattr(type(spark.sparkContext), "addFile", seen)
+    labelled = spark.createDataFrame([("good fine", 1), ("good", 1), ("bad", 0)], "Text string, Label int").repartition(3)
+    weights = fit_weights(labelled, least_texts=1).repartition(3, "Token")
+    score = shipped_sentiment(ship_weights(weights))
+    assert len(handed) > 1 and all(path.endswith(".parquet") and not recursive for path, recursive in handed)
+    assert all("/part-" in path for path, _ in handed)
+    got = spark.createDataFrame([("good",), ("bad",)], "Text string").select(score("Text").alias("s")).collect()
+    assert sorted(r.s for r in got) == [0, 1]
