@@ -1,13 +1,15 @@
 """Toxicity classifier: gradient-boosted trees over dense features, calibrated by isotonic regression.
 
 A text is described by how densely it uses abusive words, plain or disguised, how near these are to words for
-the person spoken to, and by its capitals, punctuation and obfuscation. Trees are boosted on most of a bounded sample of
+the person spoken to, and by its capitals, punctuation and obfuscation. Abuse that no word list knows is learnt from the labels: how
+much more often toxic texts have words that begin with the same letters. Trees are boosted on most of a bounded sample of
 labelled texts; the rest of the sample, unseen by the trees, maps their margins to probabilities that never fall as margins rise.
 """
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,13 @@ MAX_TRAINING_ROWS = 20_000
 CALIBRATION_SHARE = 4  # one in so many rows of the sample maps margins to probabilities
 TREES, DEPTH, SEED = 20, 3, 17
 TOXIC_FROM = 0.7
+STEMS = range(4, 9)
+"""Lengths of the beginnings of words that are learnt; words of other endings share them."""
+MAX_STEMS = 20_000
+LEAST_TEXTS, LEAST_SHARE = 5, 0.01
+"""A stem must be in so many toxic texts of the sample, and in such a share of them."""
+LEAST_ODDS = 2.0
+"""Least logarithm of how much more often toxic texts have a stem."""
 NEAR, WINDOW = 3, 50  # words around an abusive word, and the stretch in which such words are counted
 
 # Common insults and abuse in English, German, French and Spanish.
@@ -61,7 +70,7 @@ _SYMBOLS = np.frombuffer(b"#$%&*@~^<>\\{}=+_|", np.uint8)
 _SQUEEZED = frozenset(_REPEATED.sub(r"\1", w) for w in LEXICON)
 
 FEATURES = ("log_words", "density", "log_hits", "densest", "disguised", "near_second", "second", "upper", "shouted",
-            "exclaims", "questions", "bursts", "symbols", "digits", "obfuscated", "letters_apart")
+            "exclaims", "questions", "bursts", "symbols", "digits", "obfuscated", "letters_apart", "told", "told_next", "told_density")
 
 
 def _disguise(word: str) -> tuple[bool, bool]:
@@ -76,7 +85,32 @@ def _disguise(word: str) -> tuple[bool, bool]:
     return letters in LEXICON or _REPEATED.sub(r"\1", letters) in _SQUEEZED, True
 
 
-def features_of(text: str) -> list[float]:
+def stems_of(words: set[str]) -> set[str]:
+    """The beginnings of lower-case words of letters, cut at the lengths ``STEMS``. Words of the word list have their own features."""
+    cores = {word.strip(_EDGES) for word in words} - LEXICON
+    return {core[:k] for core in cores if core.isalpha() for k in STEMS if k <= len(core)}
+
+
+class WordOdds(dict):
+    """The greatest odds of a word's stems, 0 without any; kept for the words seen last."""
+
+    MOST = 200_000
+
+    def __init__(self, stems: dict[str, float]):
+        super().__init__()
+        self.stems = stems
+
+    def __missing__(self, word: str) -> float:
+        core = word.strip(_EDGES)
+        odds = max([self.stems.get(core[:k], 0.0) for k in STEMS if k <= len(core)], default=0.0) if core.isalpha() and core not in LEXICON else 0.0
+        if len(self) >= self.MOST:
+            self.clear()
+        if len(word) < 100:
+            self[word] = odds
+        return odds
+
+
+def features_of(text: str, word_odds: WordOdds | None = None) -> list[float]:
     """The features of a text, in the order of ``FEATURES``; all zero without words."""
     low = text.lower()
     words = low.split()
@@ -119,22 +153,54 @@ def features_of(text: str) -> list[float]:
         densest = int((np.searchsorted(at, at + WINDOW) - np.arange(len(at))).max())
     hidden = sum(w in disguised for w in words) if disguised else 0
     hits = len(places) + hits_apart
+    told = [0.0, 0.0, 0.0]
+    if word_odds is not None and word_odds.stems:
+        different = set(words)
+        odds = sorted(filter(None, map(word_odds.__getitem__, different)), reverse=True)
+        told = [*odds[:2], 0.0, 0.0][:2] + [sum(odds) / len(different)]
     data = text.encode("utf-8", "replace")
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     upper, lower, size = int(counts[65:91].sum()), int(counts[97:123].sum()), len(data)
     return [float(np.log1p(n)), hits / n, float(np.log1p(hits)), float(max(densest, hits_apart)), (hidden + hits_apart) / n,
             near / max(1, hits), second / n, upper / max(1, upper + lower), len(_SHOUT.findall(text)) / n,
             counts[33] / n, counts[63] / n, len(_BURST.findall(text)) / n, counts[_SYMBOLS].sum() / size,
-            counts[48:58].sum() / size, obfuscated / n, apart / n]
+            counts[48:58].sum() / size, obfuscated / n, apart / n, *told]
 
 
-def with_features(rows: DataFrame, keep: str) -> DataFrame:
+def toxic_stems(rows: DataFrame) -> dict[str, float]:
+    """Stems that toxic texts have more often, and the logarithm of how much: from rows with a ``text`` and a 0/1 ``label``.
+
+    At most ``MAX_STEMS``, those in most toxic texts first. Each row counts a stem once.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):  # bounds what is counted at once
+                part = batch.slice(start, 500)
+                toxic, civil = Counter(), Counter()
+                for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
+                    (toxic if label else civil).update(stems_of(set(text.lower().split())))
+                stems = [*toxic, *(stem for stem in civil if stem not in toxic)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(stems, pa.string()), *(pa.array([found[stem] for stem in stems], pa.int64()) for found in (toxic, civil))],
+                    names=["stem", "toxic", "civil"])
+
+    n, all_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    odds = (F.log((F.col("toxic") + 0.5) / (all_toxic + 1)) - F.log((F.col("civil") + 0.5) / (n - all_toxic + 1)))
+    found = (rows.select("text", "label").mapInArrow(count, "stem string, toxic bigint, civil bigint").groupBy("stem")
+             .agg(F.sum("toxic").alias("toxic"), F.sum("civil").alias("civil"))
+             .where(F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * all_toxic))
+             .withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS))
+    return {r.stem: r.odds for r in found.orderBy(F.desc("toxic"), F.desc("odds"), "stem").limit(MAX_STEMS).collect()}
+
+
+def with_features(rows: DataFrame, keep: str, stems: dict[str, float] | None = None) -> DataFrame:
     """``keep`` columns of rows with a ``text``, and the array ``values``."""
     names = [part.strip().split(" ")[0] for part in keep.split(",")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odds = WordOdds(stems or {})
         for batch in batches:
-            made = np.array([features_of(t.as_py()) for t in batch.column("text")], float).reshape(-1)
+            made = np.array([features_of(t.as_py(), odds) for t in batch.column("text")], float).reshape(-1)
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.ListArray.from_arrays(offsets, pa.array(made))],
                                              names=[*names, "values"])
@@ -148,6 +214,7 @@ class ToxicityModel:
     share: float
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
+    stems: dict[str, float] = field(default_factory=dict)
 
     def with_score(self, rows: DataFrame) -> DataFrame:
         """Adds ``score`` to rows with ``values``."""
@@ -171,12 +238,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS,
              .where("doc IS NOT NULL AND label IS NOT NULL").where(~held_out("doc"))
              .groupBy("doc").agg(F.round(F.avg("label")).cast("double").alias("label")))
     # The sample is bounded by ``max_rows``, so it may be broadcast, and its features may lie in one task.
-    sample = known.orderBy(F.xxhash64("doc"), "doc").limit(max_rows)
+    sample = known.orderBy(F.xxhash64("doc"), "doc").limit(max_rows).withColumn(
+        "calibrates", F.pmod(F.xxhash64(F.col("doc") + 1), F.lit(CALIBRATION_SHARE)) == 0)
     texts = docs.select(F.col(id_column).alias("doc"), text_or_empty(text_column).alias("text"))
-    rows = (with_features(texts.join(F.broadcast(sample), "doc"), "doc bigint, label double")
-            .groupBy("doc", "label").agg(F.min("values").alias("values"))
-            .select("doc", "label", array_to_vector("values").alias("features"),
-                    (F.pmod(F.xxhash64(F.col("doc") + 1), F.lit(CALIBRATION_SHARE)) == 0).alias("calibrates"))
+    labelled = texts.join(F.broadcast(sample), "doc")
+    stems = toxic_stems(labelled.where("NOT calibrates"))
+    rows = (with_features(labelled, "doc bigint, label double, calibrates boolean", stems)
+            .groupBy("doc", "label", "calibrates").agg(F.min("values").alias("values"))
+            .select("doc", "label", array_to_vector("values").alias("features"), "calibrates")
             .repartition(1).sortWithinPartitions("doc"))
     with staged(rows, "toxicity-sample") as stored:
         kinds = {r.calibrates: r for r in stored.groupBy("calibrates").agg(
@@ -188,14 +257,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS,
             return part in kinds and 0 < kinds[part]["toxic"] < kinds[part]["n"]
 
         if not mixed(False):
-            return ToxicityModel(share)
+            return ToxicityModel(share, stems=stems)
         trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH,
                               minInstancesPerNode=5, seed=SEED).fit(stored.where("NOT calibrates"))
         if not mixed(True):
-            return ToxicityModel(share, trees)
+            return ToxicityModel(share, trees, stems=stems)
         margins = trees.transform(stored.where("calibrates")).select("label", "rawPrediction")
         isotonic = IsotonicRegression(labelCol="label", featuresCol="rawPrediction", featureIndex=1, predictionCol="score")
-        return ToxicityModel(share, trees, isotonic.fit(margins))
+        return ToxicityModel(share, trees, isotonic.fit(margins), stems)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -206,17 +275,20 @@ def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text
     * A missing id stays NULL and is not held out; other columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return model.with_score(with_features(texts, "doc_id bigint")).select(
+    return model.with_score(with_features(texts, "doc_id bigint", model.stems)).select(
         "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 def keep_civil(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
     """The rows whose text is not predicted to be toxic, with all their columns."""
+    stems = model.stems
+
     @F.pandas_udf("array<double>")
     def measured(texts):
         import pandas as pd
-        return pd.Series([features_of(t) for t in texts])
+        odds = WordOdds(stems)
+        return pd.Series([features_of(t, odds) for t in texts])
 
     columns = [F.col(c).alias(f"kept_{k}") for k, c in enumerate(docs.columns)]
     judged = model.with_score(docs.select(*columns, measured(text_or_empty(text_column)).alias("values")))

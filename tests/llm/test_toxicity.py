@@ -106,3 +106,34 @@ def test_toxic_rows_go_and_keep_their_columns(spark, tables):
     kept = toxicity.keep_civil(docs, model)
     assert kept.schema == docs.schema and flagged
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - flagged
+
+
+def test_abuse_of_no_word_list_is_learnt_from_labels(spark):
+    dice = random.Random(5)
+
+    def word():
+        return "".join(dice.choices(("ba", "lo", "ri", "ten", "mu", "sak", "ol", "fe"), k=dice.randrange(2, 5)))
+
+    rows = []
+    for doc in range(1500):
+        toxic = int(doc % 5 == 0)
+        words = [word() for _ in range(60)]
+        for _ in range(3 * toxic):  # one stem, many endings
+            words[dice.randrange(60)] = "zorga" + word() + dice.choice((",", ".", ""))
+        rows.append((doc, " ".join(words), toxic))
+    tables = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.train(tables.select("doc_id", "text"), tables.select("doc_id", "toxic"))
+    assert "zorg" in model.stems and "balo" not in model.stems
+    scored = {r.doc_id: r for r in toxicity.score(tables.select("doc_id", "text"), model).collect()}
+    unseen = [(scored[doc], toxic) for doc, _, toxic in rows if scored[doc].held_out]
+    assert len(unseen) > 300 and sum(r.predicted == toxic for r, toxic in unseen) / len(unseen) > 0.98
+    kept = {r.doc_id for r in toxicity.keep_civil(tables, model).collect()}
+    assert kept == {doc for doc, r in scored.items() if r.predicted == 0}
+
+
+def test_stems_are_those_of_enough_toxic_texts(spark):
+    texts = [("Zorgana, 12 ab", 1.0)] * 5 + [("zorgelo rare", 1.0)] * 4 + [("mildly said", 0.0)] * 40 + [("", 0.0), ("said zorx", 0.0)]
+    stems = toxicity.toxic_stems(spark.createDataFrame(texts, "text string, label double").repartition(3))
+    assert set(stems) == {"zorg", "zorga", "zorgan", "zorgana"} and stems["zorg"] > stems["zorga"]
+    assert toxicity.toxic_stems(spark.createDataFrame(texts[9:], "text string, label double")) == {}
+    assert toxicity.toxic_stems(spark.createDataFrame([], "text string, label double")) == {}
