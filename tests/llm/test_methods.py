@@ -8,7 +8,7 @@ import sentencepiece
 
 from tagloom.llm.components import components
 from tagloom.llm.cuckoo import CuckooFilter
-from tagloom.llm.decontaminate import contaminated
+from tagloom.llm.decontaminate import _fingerprints, contaminated
 from tagloom.llm.exact_dedup import drop_copies
 from tagloom.llm.licenses import scan_licenses
 from tagloom.llm.line_dedup import LineIndex
@@ -262,3 +262,17 @@ def test_packing_is_level():
     loads = np.zeros((8, 3))
     np.add.at(loads, place(vectors, 8), vectors)
     assert loads.max() < 1.02 and loads.min() > 0.98
+
+
+def test_fingerprints_are_equal_where_the_windows_are(spark):
+    dice = random.Random(8)
+    rows = [(k, dice.choices("abc", k=n)) for k, n in enumerate((0, 1, 2, 3, 7, 8, 9, 60, 200))]
+    held = spark.createDataFrame(rows, "k int, words array<string>")
+    for length in range(1, 9):
+        seen = {}
+        for (_, words), got in zip(rows, held.orderBy("k").select(_fingerprints("words", length)).collect(), strict=True):
+            windows = ["".join(words[i:i + length]) for i in range(len(words) - length + 1)]
+            assert len(got[0]) == len(windows)
+            for window, mark in zip(windows, got[0], strict=True):
+                assert seen.setdefault(window, mark) == mark
+        assert len(set(seen.values())) == len(seen)
