@@ -144,6 +144,31 @@ def _by_rank() -> Column:
         lambda borders, edge: F.when(_applies(borders, edge), _merged(borders, edge)).otherwise(borders))
 
 
+BORDER_BITS = 61
+"""Words of at most this many characters keep their borders in the bits of one number."""
+
+
+def _by_rank_in_bits() -> Column:
+    """The same as ``_by_rank`` for words of at most ``BORDER_BITS`` characters, where a border is a bit."""
+    def shift(way: str, bits: Column, by: Column) -> Column:
+        return F.call_function(way, bits, by)
+
+    one = F.lit(1).cast("bigint")
+
+    def merged(bits: Column, edge: Column) -> Column:
+        s, width = _start(edge), _end(edge) - _start(edge)
+        seen = shift("shiftright", bits, s).bitwiseAND(shift("shiftleft", F.lit(2).cast("bigint"), width) - 1)
+        # The neighbours that the piece joins have three borders: at its start, at its end and one between.
+        applies = (F.bit_count(seen) == 3) & (seen.bitwiseAND(one) == 1) & (shift("shiftright", seen, width) == 1)
+        inner = seen - 1 - shift("shiftleft", one, width)
+        return F.when(applies, bits - shift("shiftleft", inner, s)).otherwise(bits)
+
+    left = F.aggregate(F.sort_array("edges"), shift("shiftleft", one, F.col("n") + 1) - 1, merged)
+    # The array of one keeps the fold from being computed for each place.
+    return F.get(F.transform(F.array(left), lambda bits: F.filter(
+        F.sequence(F.lit(0), F.col("n")), lambda at: shift("shiftright", bits, at).bitwiseAND(one) == 1)), F.lit(0))
+
+
 def _by_rank_with_ties() -> Column:
     """The same where pieces share a rank: after each merge the search begins anew."""
     def step(borders: Column, _: Column) -> Column:
@@ -178,7 +203,7 @@ def _viterbi(worst: float) -> Column:
 
 
 def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
-    """``words`` (the keys, ``word`` and ``first_doc``) with the borders of their segments.
+    """``words`` (the keys and ``word``) with the borders of their segments.
 
     Words that no piece of two or more characters touches are left out: each character stands alone.
     """
@@ -188,34 +213,40 @@ def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame
     shared = Counter(s for _, _, s in model.pieces)
     unigram = model.kind == UNIGRAM
     least = 1 if unigram else 2
-    table = spark.createDataFrame(
+    pieces = spark.createDataFrame(
         [(p, rank[s] << 2 * PLACE_BITS, float(s), int(shared[s] > 1)) for p, _, s in model.pieces
-         if len(p) >= least], "piece string, rank bigint, score double, tied int")
+         if len(p) >= least], "of_piece string, rank bigint, score double, tied int")
+    table = pieces.withColumn("of_code", F.xxhash64("of_piece"))
+    ties = any(shared[s] > 1 for p, _, s in model.pieces if len(p) >= least)
     n = F.char_length("word")
     # Words are numbered in the order in which they lie in their task, so that their edges, which stay in
     # that order, are grouped by a number that needs hardly any sorting. The numbers do not leave the task.
     spans = (words.where(n >= least).withColumn("number", F.monotonically_increasing_id())
-             .select("number", *keys, "word", "first_doc", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
+             .select("number", *keys, "word", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
              .select("*", F.explode(F.sequence(F.lit(least), F.least(
                  F.lit(max(model.longest, least)), n - F.col("s")))).alias("chars"))
-             .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars"))))
-    # The piece table is bounded by the vocabulary.
-    found = spans.join(F.broadcast(table), "piece")
+             .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars")))
+             .withColumn("code", F.xxhash64("piece")))
+    # The piece table is bounded by the vocabulary. Most substrings are no piece, which a number as the key tells soonest;
+    # substrings that share the number of a piece are compared with it.
+    same = F.startswith("piece", "of_piece") & (F.octet_length("piece") <= F.octet_length("of_piece"))
+    found = spans.join(F.broadcast(table), (spans["code"] == table["of_code"]) & same)
     end = F.col("s") + F.col("chars")
     edge = (F.struct("s", end.alias("e"), "score") if unigram
             else F.col("rank") + F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + end)
     # Few and short columns enter the grouping, which is what fills a task's memory.
-    lattice = (found.select("number", *keys, "word", "first_doc", edge.alias("edge"), "tied")
+    lattice = (found.select("number", *keys, "word", edge.alias("edge"), *["tied"] * ties)
                .groupBy("number", *keys)
                .agg(F.first("word").alias("word"), F.collect_list("edge").alias("edges"),
-                    F.sum("tied").alias("tied"), F.min("first_doc").alias("first_doc"))
+                    *[F.sum("tied").alias("tied")] * ties)
                .withColumn("n", F.char_length("word"))
                .withColumn("borders", F.sequence(F.lit(0), F.col("n"))))
     if unigram:
         final = _viterbi(min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY)
     else:
-        final = F.when(F.col("tied") < 2, _by_rank()).otherwise(_by_rank_with_ties())
-    return lattice.select(*keys, "word", "first_doc", final.alias("borders"))
+        by_rank = F.when(F.col("n") <= BORDER_BITS, _by_rank_in_bits()).otherwise(_by_rank())
+        final = F.when(F.col("tied") < 2, by_rank).otherwise(_by_rank_with_ties()) if ties else by_rank
+    return lattice.select(*keys, "word", final.alias("borders"))
 
 
 def merged_borders(word: str, scores: dict[str, float]) -> list[int]:
@@ -307,6 +338,24 @@ class _Spelling(dict):
         return struct.pack(f"{len(out)}i", *out)
 
 
+def _units(marked: str) -> list[str]:
+    """The parts of a marked text that begin at its space marks, of which no two are neighbours."""
+    return marked.replace(SPACE, " " + SPACE).split(" ")[1:]
+
+
+def _come_back(texts: list[str], ids: np.ndarray, sizes: list[int], names: tuple, held: pa.Array) -> list[bool]:
+    """Whether the ids of each text, which end at ``sizes``, are decoded to it; ``held`` has the names as an array."""
+    found = held.take(pa.array(ids))
+    ends = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)[sizes].tolist() if len(found) else [0] * len(sizes)
+    data = found.buffers()[2].to_pybytes() if len(found) else b""
+    same = []
+    for text, a, b, first, last in zip(texts, ends, ends[1:], sizes, sizes[1:], strict=False):
+        # Equal bytes are valid UTF-8, so decoding them gives the text; other bytes are decoded to see.
+        same.append(data[a:b] == ((" " + text).encode() if text else b"")
+                    or _decoded(ids[first:last], names) == text)
+    return same
+
+
 def _decoded(ids: np.ndarray, names: tuple) -> str:
     text = b"".join(map(names.__getitem__, ids.tolist())).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text
@@ -321,7 +370,7 @@ def _distinct_words(rows: DataFrame, model: PieceModel, *columns: str) -> DataFr
 
 def _other_words(rows: DataFrame, model: PieceModel, ids_of_frequent) -> DataFrame:
     """(block, word): words of two characters or more that are not among the frequent, each once per batch of texts."""
-    pattern = re.compile(model.chunk)
+    pattern, by_units = re.compile(model.chunk), model.chunk.startswith(SPACE)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of_frequent.value
@@ -329,9 +378,12 @@ def _other_words(rows: DataFrame, model: PieceModel, ids_of_frequent) -> DataFra
             found: dict[int, set] = {}
             for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if text:
-                    words = pattern.findall(SPACE + text.replace(" ", SPACE))
+                    marked = SPACE + text.replace(" ", SPACE)
+                    if by_units and SPACE * 2 not in marked:
+                        # A part begins at each space mark, so what is known from mark to mark need not be cut.
+                        marked = "".join(set(_units(marked)).difference(known, (SPACE,)))
                     found.setdefault(block, set()).update(
-                        w for w in words if w not in known and 1 < len(w) <= LONG_WORD)
+                        w for w in pattern.findall(marked) if w not in known and 1 < len(w) <= LONG_WORD)
             sizes = [len(words) for words in found.values()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.fromiter(found, np.int64, len(found)), sizes), pa.int64()),
@@ -357,7 +409,7 @@ def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = F
             break
     groups = 64
     chosen = stored(counted.where(F.col("texts") >= least).select(
-        "word", F.pmod(F.xxhash64("word"), F.lit(groups)).alias("part"), F.lit(0).cast("bigint").alias("first_doc"))
+        "word", F.pmod(F.xxhash64("word"), F.lit(groups)).alias("part"))
         .repartition(groups, "part"), "piece-frequent")
     release(counted)
     ids = _Spelling(model)
@@ -393,8 +445,7 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(2 * blocks, max(wide, MAX_PARTITIONS))
     source, rows = rows, rows.repartition(parts, "block")
-    words = (_other_words(source, model, ids_of_frequent).repartition(parts, "block").distinct()
-             .withColumn("first_doc", F.lit(0).cast("bigint")))
+    words = _other_words(source, model, ids_of_frequent).repartition(parts, "block").distinct()
     known = segmented(words, model, ["block"]).withColumnRenamed("block", "of_block")
     pattern = re.compile(model.chunk)
 
@@ -405,18 +456,23 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
             table.put(batch)
         del words_of
         out, sizes, same = [], [0], []
+        names = pa.array(model.names, pa.large_binary())
         for batch in docs_of.select(["text"]).to_batches(max_chunksize=100):
-            for text in batch.column("text").to_pylist():
+            texts, made, ends = batch.column("text").to_pylist(), [], [0]
+            for text in texts:
                 marked = SPACE + text.replace(" ", SPACE) if text else ""
                 ids = b"".join(map(table.__getitem__, pattern.findall(marked)))
                 if model.first_byte is None:  # neighbouring unknown characters are one unknown piece
                     held = np.frombuffer(ids, dtype=np.int32)
                     again = (held[1:] == model.unknown) & (held[:-1] == model.unknown)
                     ids = held[np.concatenate(([True] * min(len(held), 1), ~again))].tobytes()
-                out.append(ids)
-                sizes.append(sizes[-1] + len(ids) // 4)
-                if check:
-                    same.append(_decoded(np.frombuffer(ids, dtype=np.int32), model.names) == text)
+                made.append(ids)
+                ends.append(ends[-1] + len(ids) // 4)
+            joined = b"".join(made)
+            if check:
+                same += _come_back(texts, np.frombuffer(joined, dtype=np.int32), ends, model.names, names)
+            out.append(joined)
+            sizes += [sizes[-1] + end for end in ends[1:]]
         ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(
             np.frombuffer(b"".join(out), dtype=np.int32)))
         checked = {"round_trip": pa.array(same, pa.bool_())} if check else {}
