@@ -29,30 +29,35 @@ UNITS = ("mm cm m km in ft yd mi g kg mg lb oz t l ml s ms min h hours hour minu
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 
+def spaced_out(text: Column) -> Column:
+    """The text with one space for each run of white space, and none at its ends. Single spaces, the most of all, are passed."""
+    return F.btrim(F.regexp_replace(text, r"[\t-\r][ \t-\r]*| [ \t-\r]+", " "), F.lit(" "))
+
+
 def raw_words(text: Column) -> Column:
     """Words between runs of white space; an empty array for blank text."""
-    spaced = F.btrim(F.regexp_replace(text, r"[ \t-\r]+", " "), F.lit(" "))
+    spaced = spaced_out(text)
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " ", -1))
 
 
-def template_words(text: Column) -> Column:
-    """One template word per raw word: a placeholder, or the word without case and punctuation.
+def template_words(spaced: Column) -> Column:
+    """One template word per word of a text from ``spaced_out``: a placeholder, or the word without case and punctuation.
 
     A name is a capitalised word that follows another word of its sentence.
+
+    Each pattern begins with what few places have, so that most are passed before it looks behind.
     """
-    spaced = F.btrim(F.regexp_replace(text, r"[ \t-\r]+", " "), F.lit(" "))
-    named = F.regexp_replace(spaced, r"(?<=[\p{L}\p{Nd},;] )\p{Lu}\p{Ll}+(?=[^\p{L}\p{Nd}]|$)", NAME)
+    named = F.regexp_replace(spaced, r"(?=\p{Lu})(?<=[\p{L}\p{Nd},;] )\p{Lu}\p{Ll}+(?=[^\p{L}\p{Nd}]|$)", NAME)
     numbered = F.regexp_replace(
-        named, r"(?<![\p{L}\p{Nd}])\p{Nd}+(?:[.,:]\p{Nd}+)*(?![\p{L}\p{Nd}])", NUMBER)
+        named, r"(?=\p{Nd})(?<![\p{L}\p{Nd}])\p{Nd}+(?:[.,:]\p{Nd}+)*(?![\p{L}\p{Nd}])", NUMBER)
     measured = F.regexp_replace(
-        numbered, rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{Nd}}])", UNIT)
+        numbered, rf"{NUMBER} (?:{'|'.join(UNITS)})(?![\p{{L}}\p{{Nd}}])", f"{NUMBER} {UNIT}")
     plain = F.lower(F.regexp_replace(measured, r"[^\p{L}\p{Nd}<> ]+", ""))
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ", -1))
 
 
-def literal_words(text: Column) -> Column:
-    """One word per raw word, without case and punctuation."""
-    spaced = F.btrim(F.regexp_replace(text, r"[ \t-\r]+", " "), F.lit(" "))
+def literal_words(spaced: Column) -> Column:
+    """One word per word of a text from ``spaced_out``, without case and punctuation."""
     plain = F.lower(F.regexp_replace(spaced, r"[^\p{L}\p{Nd} ]+", ""))
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(plain, " ", -1))
 
@@ -128,17 +133,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     """
     items = stored(
         benchmark.select(F.col(item_column).alias("item"), text_or_empty(item_text_column).alias("text"))
-        .distinct().withColumn("words", template_words(F.col("text")))
-        .withColumn("literals", literal_words(F.col("text")))
+        .distinct().withColumn("words", template_words(spaced_out(F.col("text"))))
+        .withColumn("literals", literal_words(spaced_out(F.col("text"))))
         .withColumn("raw", raw_words(F.col("text"))), "benchmark-items")
     index = stored(benchmark_windows(items, window).distinct(), "benchmark-windows")
     lengths = [row[0] for row in index.select("length").distinct().collect()]  # at most ``window`` of them
 
     rows = docs.select(F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
                        text_or_empty(text_column).alias("text"))
-    # Exploding one struct column keeps the windows of a document out of one another's rows.
-    words = rows.select("doc", F.explode(F.array(F.struct(
-        template_words(F.col("text")).alias("words"), literal_words(F.col("text")).alias("literals")))).alias("of")).select(
+    # Exploding one struct column keeps the windows of a document out of one another's rows. Texts are spaced out
+    # before, since a generator would do it for each use.
+    words = rows.select("doc", spaced_out(F.col("text")).alias("spaced")).select("doc", F.explode(F.array(F.struct(
+        template_words(F.col("spaced")).alias("words"), literal_words(F.col("spaced")).alias("literals")))).alias("of")).select(
             "doc", "of.*")
     shortest = items.where(F.size("words") >= window).agg(F.min(F.size("words"))).first()[0] or window
     matches = None
@@ -173,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 
     # Slot values are looked up in the texts of the matched documents only.
     held = rows.join(passages.select("doc").distinct(), "doc", "left_semi").withColumn(
-        "doc_raw", raw_words(F.col("text"))).withColumn("doc_literals", literal_words(F.col("text"))).select(
+        "doc_raw", raw_words(F.col("text"))).withColumn("doc_literals", literal_words(spaced_out(F.col("text")))).select(
             "doc", "doc_raw", "doc_literals")
     run = F.least(F.lit(min_words), F.size("item_words"))
     alike = F.transform("item_literals", lambda word, at: F.coalesce(
