@@ -7,7 +7,8 @@ edges found are grouped by word, and a fold over them picks the segmentation:
 * unigram models: Viterbi, from left to right, keeping the best way to reach each position;
 * BPE models: merges in the order of the pieces' scores. A BPE model's scores are merge ranks, not
   log probabilities, and the best sum of them is not what such a model encodes; so here the fold
-  runs over the same lattice by rank and removes inner borders.
+  runs over the same lattice by rank and removes inner borders. Edges are numbers that sort by word and rank, and
+  tasks fold those of many words together in Numpy, so that they need no grouping by word before.
 
 Words that are frequent in a bounded sample of the documents are segmented once and sent to all tasks as a table of
 bounded size; blocks segment the others. So the sample decides only where a word is segmented, not how.
@@ -114,67 +115,95 @@ def escaped(text: Column) -> Column:
     return F.when(text == "", "").otherwise(F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE))))
 
 
-# The folds. Borders count code points from 0. An edge of a BPE word is one number, which sorts by rank,
-# then start, then end; an edge of a unigram word is a struct (s, e, score).
-
-PLACE_BITS = 22  # far more than LONG_WORD needs
-
-
-def _start(edge: Column) -> Column:
-    return F.shiftright(edge, PLACE_BITS).bitwiseAND(F.lit(2 ** PLACE_BITS - 1)).cast("int")
-
-
-def _end(edge: Column) -> Column:
-    return edge.bitwiseAND(F.lit(2 ** PLACE_BITS - 1)).cast("int")
-
-
-def _applies(borders: Column, edge: Column) -> Column:
-    at = F.array_position(borders, _start(edge)).cast("int")
-    return (F.get(borders, at + 1) == _end(edge)) & (at > 0)
-
-
-def _merged(borders: Column, edge: Column) -> Column:
-    return F.array_remove(borders, F.get(borders, F.array_position(borders, _start(edge)).cast("int")))
-
-
-def _by_rank() -> Column:
-    """Borders left after the merges of a word whose edges have different ranks, in one pass."""
-    return F.aggregate(
-        F.sort_array("edges"), F.col("borders"),
-        lambda borders, edge: F.when(_applies(borders, edge), _merged(borders, edge)).otherwise(borders))
-
+# The folds. Borders count code points from 0. Edges of BPE words are numbers; an edge of a unigram word is a
+# struct (s, e, score).
 
+PLACE_BITS = 9
+"""Bits of a place in a word, up to ``LONG_WORD``."""
 BORDER_BITS = 61
-"""Words of at most this many characters keep their borders in the bits of one number."""
+"""Words of at most this many characters are folded together, with their borders in the bits of one number."""
+TOGETHER = 8192
+"""Words that are folded together, which bounds the memory it takes."""
 
 
-def _by_rank_in_bits() -> Column:
-    """The same as ``_by_rank`` for words of at most ``BORDER_BITS`` characters, where a border is a bit."""
-    def shift(way: str, bits: Column, by: Column) -> Column:
-        return F.call_function(way, bits, by)
+class _EdgeKeys:
+    """Rows of a word and of its edges as one number each, which sorts by word, then rank, then start, then end.
 
-    one = F.lit(1).cast("bigint")
+    A word's own row has no rank, start and end, so it comes first. Words are numbered within their task.
+    """
 
-    def merged(bits: Column, edge: Column) -> Column:
-        s, width = _start(edge), _end(edge) - _start(edge)
-        seen = shift("shiftright", bits, s).bitwiseAND(shift("shiftleft", F.lit(2).cast("bigint"), width) - 1)
+    def __init__(self, model: PieceModel):
+        scores = sorted({s for _, _, s in model.pieces}, reverse=True)
+        shared = Counter(s for _, _, s in model.pieces)
+        self.rank = {s: r for r, s in enumerate(scores, 1)}
+        self.tied = np.array([r for s, r in self.rank.items() if shared[s] > 1], np.int64)
+        self.scores = {p: s for p, _, s in model.pieces} if len(self.tied) else {}
+        self.number_at = len(scores).bit_length() + 2 * PLACE_BITS
+        self.most = 2 ** (63 - self.number_at)
+
+    def folded(self, keys: np.ndarray, words: pa.Array | pa.ChunkedArray) -> tuple[list[str], list[np.ndarray]]:
+        """Words that have edges, with the borders left after their merges; ``words`` is null in rows of edges."""
+        own = words.is_valid().to_numpy(zero_copy_only=False) if len(words) else np.zeros(0, bool)
+        named = keys[own]
+        texts = words.filter(pa.array(own)).take(pa.array(np.argsort(named, kind="stable")))
+        keys = np.sort(keys)
+        first = np.searchsorted(keys, np.sort(named))
+        if len(first) and (first[0] or (np.diff(first) == 0).any()):
+            raise ValueError("the words of a group were numbered in several tasks")
+        counts = np.diff(np.append(first, len(keys))) - 1
+        texts = texts.to_pylist()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        tied = np.zeros(len(first), bool)
+        if len(self.tied) and len(first):
+            rank = (keys >> 2 * PLACE_BITS) & (2 ** (self.number_at - 2 * PLACE_BITS) - 1)
+            tied = np.add.reduceat(np.isin(rank, self.tied), first) > 1
+        borders: list = [None] * len(texts)
+        together = np.flatnonzero((counts > 0) & (sizes <= BORDER_BITS) & ~tied)
+        for some in np.split(together, range(TOGETHER, len(together), TOGETHER)):
+            left = _folded_together(keys, first[some] + 1, counts[some], sizes[some])
+            for at, kept in zip(some.tolist(), left, strict=True):
+                borders[at] = kept
+        for at in np.flatnonzero((counts > 0) & ((sizes > BORDER_BITS) | tied)).tolist():
+            of_word = keys[first[at] + 1:first[at] + 1 + counts[at]]
+            borders[at] = (merged_borders(texts[at], self.scores) if tied[at]
+                           else _folded_alone(int(sizes[at]), *map(np.ndarray.tolist, _places(of_word))))
+        kept = np.flatnonzero(counts > 0).tolist()
+        return [texts[at] for at in kept], [borders[at] for at in kept]
+
+
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return keys >> PLACE_BITS & 2 ** PLACE_BITS - 1, keys & 2 ** PLACE_BITS - 1
+
+
+def _folded_alone(n: int, begin: list[int], end: list[int]) -> list[int]:
+    """Borders of one word after the merges by its edges, which come by rank and start."""
+    bits = 2 ** (n + 1) - 1
+    for s, e in zip(begin, end, strict=True):
         # The neighbours that the piece joins have three borders: at its start, at its end and one between.
-        applies = (F.bit_count(seen) == 3) & (seen.bitwiseAND(one) == 1) & (shift("shiftright", seen, width) == 1)
-        inner = seen - 1 - shift("shiftleft", one, width)
-        return F.when(applies, bits - shift("shiftleft", inner, s)).otherwise(bits)
-
-    left = F.aggregate(F.sort_array("edges"), shift("shiftleft", one, F.col("n") + 1) - 1, merged)
-    # The array of one keeps the fold from being computed for each place.
-    return F.get(F.transform(F.array(left), lambda bits: F.filter(
-        F.sequence(F.lit(0), F.col("n")), lambda at: shift("shiftright", bits, at).bitwiseAND(one) == 1)), F.lit(0))
-
-
-def _by_rank_with_ties() -> Column:
-    """The same where pieces share a rank: after each merge the search begins anew."""
-    def step(borders: Column, _: Column) -> Column:
-        first = F.get(F.filter(F.sort_array("edges"), lambda edge: _applies(borders, edge)), F.lit(0))
-        return F.when(first.isNull(), borders).otherwise(_merged(borders, first))
-    return F.aggregate(F.sequence(F.lit(1), F.col("n")), F.col("borders"), step)
+        seen = (bits >> s) & ((2 << (e - s)) - 1)
+        if seen & 1 and seen >> (e - s) and seen.bit_count() == 3:
+            bits -= (seen - 1 - (1 << (e - s))) << s
+    return [at for at in range(n + 1) if bits >> at & 1]
+
+
+def _folded_together(keys: np.ndarray, first: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
+    """The same for many words of at most ``BORDER_BITS`` characters: the first edge of each, then the second of each, ..."""
+    order = np.argsort(-counts, kind="stable")
+    first, counts = first[order], counts[order]
+    bits = (np.int64(1) << (sizes[order] + 1)) - 1
+    for k, words in enumerate(np.searchsorted(-counts, -np.arange(1, counts[0] + 1), side="right") if len(counts) else ()):
+        (s, e), now = _places(keys[first[:words] + k]), bits[:words]
+        width = e - s
+        seen = now >> s & (np.int64(2) << width) - 1
+        inner = seen - 1 - (np.int64(1) << width)
+        applies = (seen & 1 == 1) & (seen >> width == 1) & (inner > 0) & (inner & inner - 1 == 0)
+        bits[:words] = np.where(applies, now - (inner << s), now)
+    left = np.empty_like(bits)
+    left[order] = bits
+    row, at = np.nonzero(left[:, None] >> np.arange(BORDER_BITS + 1) & 1)
+    ends = np.cumsum(np.bincount(row, minlength=len(left))).tolist()
+    at = at.tolist()
+    return [at[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _viterbi(worst: float) -> Column:
@@ -202,50 +231,75 @@ def _viterbi(worst: float) -> Column:
         lambda state: state["path"])
 
 
-def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
-    """``words`` (the keys and ``word``) with the borders of their segments.
+def _spans(words: DataFrame, model: PieceModel, keys: list[str], pieces: DataFrame, least: int) -> DataFrame:
+    """Places of the words where a piece of ``pieces`` (of_piece and more) lies, with the columns of that piece.
 
-    Words that no piece of two or more characters touches are left out: each character stands alone.
+    Where ``pieces`` has the empty piece, each word has one more row, which begins at -1.
     """
-    spark = words.sparkSession
-    scores = sorted({s for _, _, s in model.pieces}, reverse=True)
-    rank = {s: r for r, s in enumerate(scores)}
-    shared = Counter(s for _, _, s in model.pieces)
-    unigram = model.kind == UNIGRAM
-    least = 1 if unigram else 2
-    pieces = spark.createDataFrame(
-        [(p, rank[s] << 2 * PLACE_BITS, float(s), int(shared[s] > 1)) for p, _, s in model.pieces
-         if len(p) >= least], "of_piece string, rank bigint, score double, tied int")
-    table = pieces.withColumn("of_code", F.xxhash64("of_piece"))
-    ties = any(shared[s] > 1 for p, _, s in model.pieces if len(p) >= least)
     n = F.char_length("word")
-    # Words are numbered in the order in which they lie in their task, so that their edges, which stay in
-    # that order, are grouped by a number that needs hardly any sorting. The numbers do not leave the task.
+    outside = F.col("s") < 0
+    begin = -1 if least > 1 else 0
     spans = (words.where(n >= least).withColumn("number", F.monotonically_increasing_id())
-             .select("number", *keys, "word", F.explode(F.sequence(F.lit(0), n - least)).alias("s"))
-             .select("*", F.explode(F.sequence(F.lit(least), F.least(
-                 F.lit(max(model.longest, least)), n - F.col("s")))).alias("chars"))
+             .select("number", *keys, "word", F.explode(F.sequence(F.lit(begin), n - least)).alias("s"))
+             .select("*", F.explode(F.sequence(
+                 F.when(outside, 0).otherwise(least),
+                 F.when(outside, 0).otherwise(F.least(F.lit(max(model.longest, least)), n - F.col("s"))))).alias("chars"))
              .withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("chars")))
              .withColumn("code", F.xxhash64("piece")))
     # The piece table is bounded by the vocabulary. Most substrings are no piece, which a number as the key tells soonest;
     # substrings that share the number of a piece are compared with it.
+    table = pieces.withColumn("of_code", F.xxhash64("of_piece"))
     same = F.startswith("piece", "of_piece") & (F.octet_length("piece") <= F.octet_length("of_piece"))
-    found = spans.join(F.broadcast(table), (spans["code"] == table["of_code"]) & same)
-    end = F.col("s") + F.col("chars")
-    edge = (F.struct("s", end.alias("e"), "score") if unigram
-            else F.col("rank") + F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + end)
-    # Few and short columns enter the grouping, which is what fills a task's memory.
-    lattice = (found.select("number", *keys, "word", edge.alias("edge"), *["tied"] * ties)
-               .groupBy("number", *keys)
-               .agg(F.first("word").alias("word"), F.collect_list("edge").alias("edges"),
-                    *[F.sum("tied").alias("tied")] * ties)
-               .withColumn("n", F.char_length("word"))
-               .withColumn("borders", F.sequence(F.lit(0), F.col("n"))))
-    if unigram:
-        final = _viterbi(min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY)
-    else:
-        by_rank = F.when(F.col("n") <= BORDER_BITS, _by_rank_in_bits()).otherwise(_by_rank())
-        final = F.when(F.col("tied") < 2, by_rank).otherwise(_by_rank_with_ties()) if ties else by_rank
+    return spans.join(F.broadcast(table), (spans["code"] == table["of_code"]) & same)
+
+
+def _edges(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
+    """The lattice of a BPE model: the keys, ``key`` (see ``_EdgeKeys``) and ``word``, which is NULL in rows of edges.
+
+    Words are numbered in their task, so the words of a group have to lie in one, and so do their edges.
+    """
+    made = _EdgeKeys(model)
+    pieces = words.sparkSession.createDataFrame(
+        [("", 0), *((p, made.rank[s] << 2 * PLACE_BITS) for p, _, s in model.pieces if len(p) > 1)],
+        "of_piece string, rank bigint")
+    outside = F.col("s") < 0
+    place = F.shiftleft(F.col("s").cast("bigint"), PLACE_BITS) + F.col("s") + F.col("chars")
+    number = F.shiftleft(F.col("number").bitwiseAND(F.lit(made.most - 1)), made.number_at)
+    return _spans(words, model, keys, pieces, 2).select(
+        *keys, (number + F.col("rank") + F.when(outside, F.lit(0)).otherwise(place)).alias("key"),
+        F.when(outside, F.col("word")).alias("word"))
+
+
+def segmented(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
+    """``words`` (the keys and ``word``) with the borders of their segments.
+
+    Words that no piece of two or more characters touches are left out: each character stands alone.
+    """
+    if model.kind == UNIGRAM:
+        return _segmented_by_score(words, model, keys)
+    by_rank = _EdgeKeys(model)
+
+    def fold(rows: pa.Table) -> pa.Table:
+        found, borders = by_rank.folded(rows.column("key").to_numpy(), rows.column("word"))
+        of_group = rows.select(keys).take(pa.array(np.zeros(len(found), np.int64)))
+        return pa.table({**dict(zip(keys, of_group.columns, strict=True)), "word": pa.array(found, pa.string()),
+                         "borders": pa.array(borders, pa.list_(pa.int32()))})
+
+    kinds = dict(words.dtypes)
+    return _edges(words.repartition(*keys), model, keys).groupBy(*keys).applyInArrow(
+        fold, "".join(f"{key} {kinds[key]}, " for key in keys) + "word string, borders array<int>")
+
+
+def _segmented_by_score(words: DataFrame, model: PieceModel, keys: list[str]) -> DataFrame:
+    """The same for unigram models."""
+    pieces = words.sparkSession.createDataFrame([(p, float(s)) for p, _, s in model.pieces], "of_piece string, score double")
+    # Words are numbered in the order in which they lie in their task, so that their edges, which stay in
+    # that order, are grouped by a number that needs hardly any sorting. The numbers do not leave the task.
+    edge = F.struct("s", (F.col("s") + F.col("chars")).alias("e"), "score")
+    lattice = (_spans(words, model, keys, pieces, 1).select("number", *keys, "word", edge.alias("edge"))
+               .groupBy("number", *keys).agg(F.first("word").alias("word"), F.collect_list("edge").alias("edges"))
+               .withColumn("n", F.char_length("word")))
+    final = _viterbi(min((s for _, _, s in model.pieces), default=0.0) - UNKNOWN_PENALTY)
     return lattice.select(*keys, "word", final.alias("borders"))
 
 
@@ -325,6 +379,10 @@ class _Spelling(dict):
         for word, a, b in zip(batch.column("word").to_pylist(), ends, ends[1:]):
             self[word] = self.spelled(word, borders[a:b])
 
+    def put_folded(self, words: list[str], borders: list[list[int]]) -> None:
+        for word, some in zip(words, borders, strict=True):
+            self[word] = self.spelled(word, some)
+
     def spelled(self, word: str, borders) -> bytes:
         out = []
         for s, e in zip(borders, borders[1:]):
@@ -413,7 +471,7 @@ def frequent_words(rows: DataFrame, model: PieceModel, total: int, most: int = F
         .repartition(groups, "part"), "piece-frequent")
     release(counted)
     ids = _Spelling(model)
-    for batch in (segmented(chosen.repartition(groups, "part"), model, ["part"]).select("word", "borders")
+    for batch in (segmented(chosen, model, ["part"]).select("word", "borders")
                   .toArrow().to_batches(max_chunksize=10_000)):
         ids.put(batch)
     for word in chosen.select("word").toArrow().column("word").to_pylist():
@@ -446,22 +504,32 @@ def encode(docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_c
     parts = min(2 * blocks, max(wide, MAX_PARTITIONS))
     source, rows = rows, rows.repartition(parts, "block")
     words = _other_words(source, model, ids_of_frequent).repartition(parts, "block").distinct()
-    known = segmented(words, model, ["block"]).withColumnRenamed("block", "of_block")
-    pattern = re.compile(model.chunk)
+    by_rank = _EdgeKeys(model) if model.kind == BPE else None
+    found = _edges if by_rank else _segmented_by_score
+    known = found(words, model, ["block"]).withColumnRenamed("block", "of_block")
+    pattern, by_units = re.compile(model.chunk), model.chunk.startswith(SPACE)
 
     def assemble(docs_of: pa.Table, words_of: pa.Table) -> pa.Table:
         table = _Spelling(model)
         table.update(ids_of_frequent.value)
-        for batch in words_of.select(["word", "borders"]).to_batches(max_chunksize=10_000):
-            table.put(batch)
-        del words_of
+        if by_rank:
+            table.put_folded(*by_rank.folded(words_of.column("key").to_numpy(), words_of.column("word")))
+        else:
+            for batch in words_of.select(["word", "borders"]).to_batches(max_chunksize=10_000):
+                table.put(batch)
         out, sizes, same = [], [0], []
         names = pa.array(model.names, pa.large_binary())
         for batch in docs_of.select(["text"]).to_batches(max_chunksize=100):
             texts, made, ends = batch.column("text").to_pylist(), [], [0]
             for text in texts:
                 marked = SPACE + text.replace(" ", SPACE) if text else ""
-                ids = b"".join(map(table.__getitem__, pattern.findall(marked)))
+                if by_units and SPACE * 2 not in marked:
+                    # A part begins at each space mark, and most of what lies between two marks is one part.
+                    ids = b"".join([known if (known := table.get(unit)) is not None
+                                    else b"".join(map(table.__getitem__, pattern.findall(unit)))
+                                    for unit in _units(marked)])
+                else:
+                    ids = b"".join(map(table.__getitem__, pattern.findall(marked)))
                 if model.first_byte is None:  # neighbouring unknown characters are one unknown piece
                     held = np.frombuffer(ids, dtype=np.int32)
                     again = (held[1:] == model.unknown) & (held[:-1] == model.unknown)

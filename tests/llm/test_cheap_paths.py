@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tagloom.llm import pieces
 from tagloom.llm.pieces import PieceModel, default_model_path
@@ -40,3 +41,26 @@ def test_texts_are_compared_with_what_their_ids_give():
     sizes = np.cumsum([0, *map(len, ids)]).tolist()
     got = pieces._come_back(texts, np.array(sum(ids, []), np.int32), sizes, model.names, pa.array(model.names, pa.large_binary()))
     assert got == [True, True, True, False, True, False]
+
+
+@pytest.mark.parametrize("tied", [False, True])
+def test_edges_carry_no_words_and_fold_to_the_same_borders(spark, monkeypatch, tied):
+    """Only one row of a word holds it, so the edges of a block fill little memory; groups of any size fold alike."""
+    monkeypatch.setattr(pieces, "TOGETHER", 7)
+    rng = random.Random(31)
+    parts = ["ab", "bc", "abc", "ca", "▁a", "cab", "aa", "bb", "aabb"]
+    rows = [("<unk>", 0, 0.0, 2)] + [(p, i + 1, -float(i // 2 if tied else i), 1) for i, p in enumerate(["a", "b", "c", "▁", *parts])]
+    model = PieceModel.of(pieces.BPE, rows)
+    words = list({"▁" * rng.randrange(2) + "".join(rng.choices("abcX", k=n)) for n in [*range(1, 40), 60, 61, 62, 63, 255, 256] for _ in range(3)})
+    table = spark.createDataFrame([(i % 3, w) for i, w in enumerate(words)], "block bigint, word string").repartition(2, "block")
+    edges = pieces._edges(table, model, ["block"]).collect()
+    assert sum(r.word is not None for r in edges) == sum(len(w) > 1 for w in words) < len(edges) / 3
+    made = {r.word: r.borders for r in pieces.segmented(table, model, ["block"]).collect()}
+    scores = {p: s for p, _, s, t in rows if t == 1}
+    assert all(made.get(w, list(range(len(w) + 1))) == pieces.merged_borders(w, scores) for w in words)
+
+
+def test_words_numbered_in_several_tasks_are_refused():
+    model = PieceModel.of(pieces.BPE, [("<unk>", 0, 0.0, 2), ("a", 1, -1.0, 1), ("aa", 2, -2.0, 1)])
+    with pytest.raises(ValueError):
+        pieces._EdgeKeys(model).folded(np.array([0, 0], np.int64), pa.array(["aa", "aaa"]))
