@@ -3,11 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import release, stored
+from tagloom.llm.shared import release, stored_in_few
 
 
 def _towards_least(edges: DataFrame) -> DataFrame:
-    """For edges (u, v): u, v and the least of u and all its v."""
+    """For edges (u, v): u, v and the least of u and all its v. Edges are dealt once, for the aggregate and the join."""
+    edges = edges.repartition("u")
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     return edges.join(least, "u").select("u", "v", F.least("u", "m").alias("m"))
 
@@ -15,7 +16,7 @@ def _towards_least(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (_towards_least(both).where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -34,11 +35,11 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has the columns ``u`` and ``v`` in any order, with repeats and loops. Each round shrinks
     the distance to the least vertex by a constant factor, so the number of rounds is logarithmic.
     """
-    edges = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = stored_in_few(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                    .where("u <> v").distinct(), "links")
     seen = _fingerprint(edges)
     while True:
-        before, edges = edges, stored(_small_star(_large_star(edges)), "stars")
+        before, edges = edges, stored_in_few(_small_star(_large_star(edges)), "stars")
         release(before)
         now = _fingerprint(edges)
         if now == seen:

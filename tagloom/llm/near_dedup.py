@@ -1,40 +1,44 @@
-"""Near-duplicate documents by chosen-path set similarity search on minwise tokens.
+"""Near-duplicate documents by bands of minwise tokens, with exhaustive comparison inside the nodes that stay open.
 
 Each document is a set of word shingles, sketched by ``TOKENS`` minwise tokens. Documents with equal
-sets are first reduced to one. Then, in each of several independent trees, documents branch by the
-tokens at the positions that their node has chosen, so similar documents keep meeting while others
-part. A node of at most ``NODE_LIMIT`` documents is compared exhaustively; a larger one branches again,
-and its documents are also compared with one pivot. Every candidate that the sketches cannot rule out is confirmed
-on full sets.
-
-After each level the links found so far are turned into components, and documents carry theirs along: a node of one
-component has nothing left to find and ends, and later levels only compare across components. So a group of
-thousands of near copies is found once, around one pivot, and not again in every tree and level. Nodes that are still
-large and of several components at the last level are compared block by block, each minor component with all others.
-
-Two documents of similarity 0.8 meet below a root position with probability 0.8, and there are
-``2 * TREES`` of them, so a pair that parts from the crowd at once is missed once in 10 million times.
+sets are first reduced to one. The tokens are cut into bands, and documents that agree in a whole band meet in a node.
+Each document is compared with the pivots of its nodes, the least of their documents, as long as it shares enough nodes with them.
+Every candidate that the sketches cannot rule out is confirmed on full sets.
+
+The links found are turned into components, and a node of one component has nothing left to find and ends. So a group of
+thousands of near copies is found once, around few pivots. The documents of an open node of at most ``NODE_LIMIT`` are all compared
+across components; a larger one branches by further marks of the sketch, several times, and its children are nodes again.
+Nodes that are still large and of several components at the last level are compared block by block, each minor component with
+all others.
+
+Bands are as wide as lets a pair at the threshold meet in one of them but once in 10 million times: two documents of
+similarity 0.8 agree in a band of 4 tokens with probability 0.41, and there are 32 bands.
 """
 
+import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.components import components
-from tagloom.llm.shared import NO_ID, release, stored, text_or_empty
+from tagloom.llm.shared import NO_ID, release, stored, stored_in_few, text_or_empty
 from tagloom.plans.lookups import hot_key_join
 
 SHINGLE = 5
 PERCENT = 80
 TOKENS = 128
-TREES = 5
-LEVELS = 8
-NODE_LIMIT = 512
+MISSED = 1e-7
+"""How often a pair at the threshold may share no band."""
+LEVELS = 3
+BRANCHES, BRANCH_MARKS = 3, 2
+"""A large node branches so many times, each time by so many marks; a pair has its chance in each band that it shares."""
+NODE_LIMIT = 1024
+MAX_WANTED = 2_500_000
+"""Ids of documents whose full sets are wanted are sent to all tasks, up to so many; beyond, texts move to them."""
 SLACK = 4.0
 """Candidates may lie this many standard deviations of the sketch below the threshold."""
 SURE = 0.92
@@ -46,6 +50,10 @@ _SHIFTS = _RANDOM.integers(0, 2 ** 63, TOKENS, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+KNOWN_WORDS = 100_000
+"""Word hashes that a task keeps, at most about."""
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         self[word] = made = xxhash.xxh3_64_intdigest(word)
@@ -77,36 +85,58 @@ def minwise_tokens(hashes: np.ndarray) -> np.ndarray:
     return tokens
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
+def band_width(percent: int) -> int:
+    """The widest bands in which a pair at the threshold meets but for a share of ``MISSED``."""
+    share = percent / 100
+    return next((width for width in range(8, 1, -1) if (1 - share ** width) ** (TOKENS // width) <= MISSED), 1)
+
+
+def band_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
+    """A number for each band and its tokens."""
+    bands = TOKENS // width
+    rows = tokens[:bands * width].reshape(bands, width).astype(np.uint64)
+    mixed = np.arange(bands, dtype=np.uint64)
+    for k in range(width):
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * _STEP + rows[:, k]
+    mixed ^= mixed >> np.uint64(32)
+    return (mixed * _STEP).view(np.int64)
+
 
+def _few_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """Ids and texts, few at a time, since a batch of long texts is held twice while it is read."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            yield part.column("doc"), part.column("text").cast(pa.binary()).to_pylist()
 
-def _sketches(width: int):
+
+def _sketches(width: int, band: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = _WordHashes()
-            sizes, digests, tokens, marks = [], [], [], []
-            for text in _texts(batch):
+        known = _WordHashes()
+        for docs, texts in _few_texts(batches):
+            known = known if len(known) < KNOWN_WORDS else _WordHashes()
+            sizes, digests, bands, marks = [], [], [], []
+            for text in texts:
                 hashes = shingle_hashes(text, width, known)
                 sizes.append(len(hashes))
                 made = minwise_tokens(hashes) if len(hashes) else None
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                tokens.append(made.astype(">u4").tobytes() if len(hashes) else None)
+                bands.append(band_hashes(made, band) if len(hashes) else None)
                 marks.append(made.astype(np.uint8).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(tokens, pa.binary()), pa.array(marks, pa.binary())],
-                names=["doc", "n_shingles", "digest", "tokens", "marks"])
+                [docs, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                names=["doc", "n_shingles", "digest", "bands", "marks"])
     return make
 
 
 def _shingle_sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = _WordHashes()
-            sets = [shingle_hashes(text, width, known).view(np.int64) for text in _texts(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "shingles"])
+        known = _WordHashes()
+        for docs, texts in _few_texts(batches):
+            known = known if len(known) < KNOWN_WORDS else _WordHashes()
+            sets = [shingle_hashes(text, width, known).view(np.int64) for text in texts]
+            yield pa.RecordBatch.from_arrays([docs, pa.array(sets, pa.list_(pa.int64()))], names=["doc", "shingles"])
     return make
 
 
@@ -181,30 +211,14 @@ def _compare_nodes(percent: int, thin: bool):
     return compare
 
 
-def _alike(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, marks_u, marks_v) whose sketches do not rule them out."""
-    least = _least_alike(percent)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, TOKENS)
-                        for c in ("marks_u", "marks_v"))
-            likely = pa.array((one == two).mean(axis=1) >= least)
-            yield batch.select(["u", "v"]).filter(likely)
-
-    return rows.select("u", "v", "marks_u", "marks_v").mapInArrow(keep, "u bigint, v bigint")
-
-
-def _token(position: Column) -> Column:
-    return F.substring(F.col("tokens"), position * 4 + 1, F.lit(4))
-
+def _branch(large: DataFrame, marks: DataFrame) -> DataFrame:
+    """Children (node, rep) of large nodes, each of documents that share the marks at positions chosen by the node."""
+    def mark(branch: Column, k: int) -> Column:
+        return F.substring("marks", F.pmod(F.xxhash64("node", branch, F.lit(k)), F.lit(TOKENS)).cast("int") + 1, F.lit(1))
 
-def _branch(rows: DataFrame, branches: int) -> DataFrame:
-    """Children of each (node, rep, tokens) by the tokens at the node's chosen positions."""
-    chosen = F.transform(
-        F.sequence(F.lit(0), F.lit(branches - 1)),
-        lambda k: F.xxhash64("node", k, _token(F.pmod(F.xxhash64("node", k), F.lit(TOKENS)).cast("int"))))
-    return rows.select("rep", F.explode(F.array_distinct(chosen)).alias("node"))
+    children = F.transform(F.sequence(F.lit(0), F.lit(BRANCHES - 1)),
+                           lambda branch: F.xxhash64("node", branch, *[mark(branch, k) for k in range(BRANCH_MARKS)]))
+    return large.select("node", "rep").join(marks, "rep").select(F.explode(children).alias("node"), "rep")
 
 
 def _compare(nodes: DataFrame, percent: int, thin: bool = True) -> DataFrame:
@@ -223,36 +237,30 @@ def _with_labels(rows: DataFrame, stars: DataFrame | None) -> DataFrame:
             .withColumn("label", F.coalesce("__label", "rep")).drop("__rep", "__label"))
 
 
-def _star_candidates(large: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each document of a large node with the node's pivot, where their components differ."""
-    pivots = (large.groupBy("node").agg(F.first("pivot").alias("rep"), F.min("pivot_label").alias("pivot_label"))
-              .join(marks, "rep").select(F.col("node").alias("of_node"), F.col("rep").alias("pivot"), "pivot_label",
-                                         F.col("n_shingles").alias("pivot_size"), F.col("marks").alias("marks_u")))
-    others = large.where("label <> pivot_label").select("node", "rep").join(marks, "rep")
-    sized = hot_key_join(others, pivots, "node", "of_node").where(
-        100 * F.least("n_shingles", "pivot_size") >= percent * F.greatest("n_shingles", "pivot_size"))
-    return _alike(sized.select(F.col("pivot").alias("u"), F.col("rep").alias("v"), "marks_u",
-                               F.col("marks").alias("marks_v")), percent)
-
-
 class _Links:
     """Confirmed links so far, and the components that they make."""
 
     def __init__(self, texts: DataFrame, percent: int, width: int):
         self.texts, self.percent, self.width = texts, percent, width
         self.edges: DataFrame | None = None  # stars: one edge per document that is not the least of its component
+        self.tried: DataFrame | None = None  # pairs that were tried on full sets
+        self.kept: list[DataFrame] = []
 
     def add(self, candidates: DataFrame) -> DataFrame:
         """Confirm candidates on full sets and join the components they link; returns the pairs that were confirmed."""
-        pairs = stored(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-                       .where("u <> v").distinct(), "near-candidates")
+        new = (candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+               .where("u <> v").distinct())
+        pairs = stored_in_few(new if self.tried is None else new.join(self.tried, ["u", "v"], "left_anti"), "near-candidates")
         if pairs.isEmpty():
             return pairs
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
+        self.kept.append(pairs)
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("doc"))
+        wanted = F.broadcast(wanted) if 2 * pairs.count() <= MAX_WANTED else wanted
         sets = stored(self.texts.join(wanted, "doc", "left_semi").select("doc", "text")
                       .mapInArrow(_shingle_sets(self.width), "doc bigint, shingles array<bigint>"), "near-sets")
-        confirmed = stored(self._similar(pairs, sets), "near-links")
-        release(pairs, sets)
+        confirmed = stored_in_few(self._similar(pairs, sets), "near-links")
+        release(sets)
         before = self.edges
         if not confirmed.isEmpty():
             self.edges = components(confirmed if before is None else confirmed.unionByName(before))
@@ -260,46 +268,61 @@ class _Links:
         return confirmed
 
     def _similar(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """A pivot is in very many pairs, so the pairs are dealt anew for each side."""
+        """A pivot, which is the lesser of its pairs, is in very many of them, so these are dealt over several tasks."""
         one = sets.select(F.col("doc").alias("du"), F.col("shingles").alias("set_u"))
-        two = sets.select(F.col("doc").alias("dv"), F.col("shingles").alias("set_v"))
+        two = sets.select(F.col("doc").alias("v"), F.col("shingles").alias("set_v"))
         shared = F.size(F.array_intersect("set_u", "set_v"))
-        both = hot_key_join(pairs, two, "v", "dv").select("u", "v", "set_v")
-        return (hot_key_join(both, one, "u", "du")
+        return (hot_key_join(pairs, one, "u", "du").select("u", "v", "set_u").join(two, "v")
                 .select("u", "v", shared.alias("shared"), (F.size("set_u") + F.size("set_v")).alias("both"))
                 .where(100 * F.col("shared") >= self.percent * (F.col("both") - F.col("shared")))
                 .select("u", "v"))
 
+    def close(self) -> None:
+        release(*self.kept)
+
 
-def _level(rows: DataFrame, marks: DataFrame, links: _Links, limit: int) -> DataFrame | None:
-    """Compare the nodes of a level; returns the rows (node, rep) of its large nodes, or None if there are none."""
-    nodes = rows.groupBy("node").agg(
-        F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"),
-        F.min_by(F.struct("rep", "label"), F.xxhash64("rep")).alias("p")).where("n > 1 AND a <> b").select(
-            F.col("node").alias("of_node"), "n", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label"))
-    grouped = stored(hot_key_join(rows, nodes, "node", "of_node").drop("of_node"), "tree-nodes")
-    large, kept = grouped.where(F.col("n") > limit), None
-    if not large.isEmpty():
-        # Pivots first: what they link need not be found again in the small nodes.
-        kept = stored(large.select("node", "rep"), "tree-large")
-        release(links.add(_star_candidates(large, marks, links.percent)))
-    small = _with_labels(grouped.where(F.col("n") <= limit).select("node", "rep"), links.edges).join(marks, "rep")
-    found = stored(_compare(small, links.percent), "tree-candidates")
+def _open(rows: DataFrame, links: _Links) -> DataFrame:
+    """Of rows (node, rep), those of nodes of several components: node, rep, label, n and the node's least document.
+
+    A document has a row in each band, so no node has more than one in as many rows as there are bands.
+    """
+    node = Window.partitionBy("node")
+    if links.edges is None:  # each document is a component of its own, and has one row in a node
+        labelled = rows.select("*", F.count("*").over(node).alias("n"), F.min("rep").over(node).alias("pivot"))
+        return stored_in_few(labelled.where("n > 1").withColumn("label", F.col("rep")), "near-open")
+    labelled = _with_labels(rows, links.edges).select(
+        "*", F.count("*").over(node).alias("n"), F.min("rep").over(node).alias("pivot"),
+        F.min("label").over(node).alias("a"), F.max("label").over(node).alias("b"))
+    return stored_in_few(labelled.where("a <> b").drop("a", "b"), "near-open")
+
+
+def _compare_with_pivots(rows: DataFrame, links: _Links, band: int) -> None:
+    """Link documents with the pivots of their nodes, where they share so many bands that the sketches do not rule it out."""
+    bands = TOKENS // band
+    share = (links.percent / 100) ** band
+    least = max(1, math.ceil(bands * share - SLACK * (bands * share * (1 - share)) ** 0.5))
+    likely = (rows.where("rep <> pivot").groupBy(F.col("pivot").alias("u"), F.col("rep").alias("v"))
+              .agg(F.count("*").alias("shared")).where(F.col("shared") >= least))
+    release(links.add(likely))
+
+
+def _compare_all(rows: DataFrame, marks: DataFrame, links: _Links) -> None:
+    """Link the documents of small nodes across components."""
+    found = stored_in_few(_compare(rows.join(marks, "rep"), links.percent), "near-found")
     confirmed = links.add(found)
-    ordered = found.where("sure").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "node")
-    again = ordered.join(confirmed, ["u", "v"], "left_anti").select("node").distinct()
+    sure = found.where("sure").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "node")
+    again = stored_in_few(sure.join(confirmed, ["u", "v"], "left_anti").select("node").distinct(), "near-again")
     if not again.isEmpty():
         # A sure pair was not linked after all, so pairs left out for its sake have to be tried.
-        nodes = _with_labels(grouped.select("node", "rep").join(again, "node", "left_semi"), links.edges)
-        retried = stored(_compare(nodes.join(marks, "rep"), links.percent, thin=False), "tree-candidates")
+        nodes = _with_labels(rows.select("node", "rep").join(again, "node", "left_semi"), links.edges)
+        retried = stored_in_few(_compare(nodes.join(marks, "rep"), links.percent, thin=False), "near-found")
         release(links.add(retried), retried)
-    release(grouped, found, confirmed)
-    return kept
+    release(found, confirmed, again)
 
 
 def _remaining(large: DataFrame, links: _Links, marks: DataFrame, limit: int) -> DataFrame:
     """Open large nodes in cells of two blocks, so that documents outside the main component of a node meet all others."""
-    labelled = stored(_with_labels(large, links.edges), "tree-labelled")
+    labelled = stored_in_few(_with_labels(large, links.edges), "tree-labelled")
     counts = labelled.groupBy("node", "label").agg(F.count("*").alias("n"))
     mains = (counts.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"))
              .where("main.n < n").select(F.col("node").alias("of_node"), F.col("main.label").alias("main"),
@@ -320,38 +343,29 @@ def _remaining(large: DataFrame, links: _Links, marks: DataFrame, limit: int) ->
             .join(marks, "rep"))
 
 
-def _linked(reps: DataFrame, links: _Links, trees: int, levels: int, limit: int) -> None:
-    """Search all trees, level by level; the links found are in ``links``.
+def _linked(reps: DataFrame, links: _Links, levels: int, limit: int) -> None:
+    """Search the nodes level by level; the links found are in ``links``."""
+    marks = reps.select("rep", "n_shingles", "marks")
+    met = _open(reps.select("rep", F.explode("bands").alias("node")), links)
+    _compare_with_pivots(met, links, band_width(links.percent))
+    left = _open(met.select("node", "rep"), links)
+    release(met)
+    for level in range(1, levels + 1):
+        _compare_all(left.where(F.col("n") <= limit), marks, links)
+        large = left.where(F.col("n") > limit).select("node", "rep")
+        if large.isEmpty():
+            break
+        if level == levels:
+            retried = stored_in_few(_compare(_remaining(large, links, marks, limit), links.percent, thin=False), "near-found")
+            release(links.add(retried), retried)
+        else:
+            before, left = left, _open(_branch(large, marks), links)
+            release(before)
+    release(left)
 
-    The first tree's roots go before the others: they find most links, so the nodes of the others are mostly closed.
-    """
-    marks, tokens = reps.select("rep", "n_shingles", "marks"), reps.select("rep", "tokens")
-    large = []
-    for positions in (range(2), range(2, 2 * trees)):
-        roots = F.array(*[F.xxhash64(F.lit(r), _token(F.lit(r))) for r in positions])
-        if positions:
-            rows = stored(_with_labels(reps, links.edges).select("rep", "label", F.explode(roots).alias("node"))
-                          .select("node", "rep", "label"), "tree")
-            large.append(_level(rows, marks, links, limit))
-            release(rows)
-    for level in range(2, levels + 1):
-        open_rows = [table for table in large if table is not None]
-        if not open_rows:
-            return
-        wide = reduce(DataFrame.unionByName, open_rows).join(tokens, "rep")
-        rows = stored(_with_labels(_branch(wide, 2 if level == 2 else 1), links.edges).select("node", "rep", "label"), "tree")
-        release(*open_rows)
-        large = [_level(rows, marks, links, limit)]
-        release(rows)
-    for table in large:
-        if table is not None:
-            retried = stored(_compare(_remaining(table, links, marks, limit), links.percent, thin=False), "tree-candidates")
-            release(links.add(retried), retried, table)
-
-
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
-                    levels: int = LEVELS, node_limit: int = NODE_LIMIT, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, levels: int = LEVELS,
+                    node_limit: int = NODE_LIMIT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Component of each document: doc_id, n_shingles, component_id, kept.
 
     * Documents are linked if ``100 * intersection >= percent * union`` of their shingle sets; a
@@ -362,37 +376,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
       possible one and is reported as NULL. An empty table gives an empty result, and other
       columns are ignored.
     """
-    found = _classified(docs, shingle, percent, trees, levels, node_limit, id_column, text_column)
+    found = _classified(docs, shingle, percent, levels, node_limit, id_column, text_column)
     return found.select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_shingles",
                         F.nullif("component", F.lit(NO_ID)).alias("component_id"),
                         (F.col("doc") == F.col("component")).alias("kept"))
 
 
-def _classified(docs: DataFrame, shingle: int, percent: int, trees: int, levels: int, node_limit: int, id_column: str,
-                text_column: str) -> DataFrame:
+def _classified(docs: DataFrame, shingle: int, percent: int, levels: int, node_limit: int, id_column: str, text_column: str) -> DataFrame:
     """doc, n_shingles, digest (of the set, NULL without shingles) and component of each row."""
     texts = docs.select(F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("doc"),
                         text_or_empty(text_column).alias("text"))
     sketches = stored(texts.mapInArrow(
-        _sketches(shingle), "doc bigint, n_shingles bigint, digest binary, tokens binary, marks binary"),
-        "near-sketches")
-    reps = stored(sketches.where("digest IS NOT NULL").groupBy("digest", "n_shingles", "tokens", "marks")
+        _sketches(shingle, band_width(percent)),
+        "doc bigint, n_shingles bigint, digest binary, bands array<bigint>, marks binary"), "near-sketches")
+    reps = stored_in_few(sketches.where("digest IS NOT NULL").groupBy("digest", "n_shingles", "bands", "marks")
                   .agg(F.min("doc").alias("rep")), "near-reps")
     links = _Links(texts, percent, shingle)
-    _linked(reps, links, trees, levels, node_limit)
+    _linked(reps, links, levels, node_limit)
+    links.close()
     classes = _with_labels(reps, links.edges).select("digest", F.col("label").alias("component"))
     return (sketches.select("doc", "n_shingles", "digest").join(classes, "digest", "left")
             .withColumn("component", F.coalesce("component", "doc")))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES,
-                         levels: int = LEVELS, node_limit: int = NODE_LIMIT, id_column: str = "doc_id",
-                         text_column: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, levels: int = LEVELS,
+                         node_limit: int = NODE_LIMIT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows whose id comes with several different texts stay, since links do not tell which of the texts is the copy.
     """
-    found = _classified(docs, shingle, percent, trees, levels, node_limit, id_column, text_column)
+    found = _classified(docs, shingle, percent, levels, node_limit, id_column, text_column)
     content = F.coalesce("digest", F.lit(bytearray()))
     gone = (found.groupBy("doc").agg(F.min("component").alias("component"), F.min(content).alias("a"), F.max(content).alias("b"))
             .where("a = b AND component <> doc").select(F.nullif("doc", F.lit(NO_ID)).alias("__gone")))

@@ -29,6 +29,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def stored_in_few(df: DataFrame, label: str) -> DataFrame:
+    """``stored`` for rows of a few numbers each: in two files per core at most, since many tiny files cost more than the rows.
+
+    Tasks go through their partitions one after the other, so none is held as a whole with another.
+    """
+    return stored(df.coalesce(max(12, 2 * df.sparkSession.sparkContext.defaultParallelism)), label)
+
+
 def release(*tables: DataFrame | None) -> None:
     """Delete tables that ``stored`` wrote and that no later step reads."""
     for table in tables:
