@@ -64,3 +64,22 @@ def test_words_numbered_in_several_tasks_are_refused():
     model = PieceModel.of(pieces.BPE, [("<unk>", 0, 0.0, 2), ("a", 1, -1.0, 1), ("aa", 2, -2.0, 1)])
     with pytest.raises(ValueError):
         pieces._EdgeKeys(model).folded(np.array([0, 0], np.int64), pa.array(["aa", "aaa"]))
+
+
+def test_near_duplicates_store_rows_of_shared_nodes_only(spark, monkeypatch):
+    """Documents that resemble no other are in no table but the sketches and the distinct documents."""
+    from tagloom.llm import near_dedup, shared
+    store, rows = shared.stored, {}
+
+    def counting(df, label):
+        made = store(df, label)
+        rows[label] = max(rows.get(label, 0), made.count())
+        return made
+
+    monkeypatch.setattr(shared, "stored", counting)
+    monkeypatch.setattr(near_dedup, "stored", counting)
+    texts = [" ".join(f"d{i}w{k}" for k in range(60)) for i in range(120)]
+    docs = spark.createDataFrame([*enumerate(texts), (500, texts[7] + " more")], "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, shingle=4).collect()}
+    assert got == {i: i for i in range(120)} | {500: 7}
+    assert max(n for label, n in rows.items() if label not in ("near-sketches", "near-reps")) <= 64
