@@ -36,7 +36,7 @@ MISSED = 1e-7
 LEVELS = 3
 BRANCHES, BRANCH_MARKS = 3, 2
 """A large node branches so many times, each time by so many marks; a pair has its chance in each band that it shares."""
-NODE_LIMIT = 256
+NODE_LIMIT = 1024
 MAX_WANTED = 2_500_000
 """Ids of documents whose full sets are wanted are sent to all tasks, up to so many; beyond, texts move to them."""
 SLACK = 4.0
